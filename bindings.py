@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlens import Tables, tune
 
@@ -27,23 +28,22 @@ class View:
     on: tuple[str, ...]
     columns: dict[str, str]
     where: str | None = None
+    spread: str | None = None  # column to spread the first table's rows by
 
     def duckdb(self) -> str:
         source = self.tables[0] + "".join(f" join {t} on {c}" for t, c in zip(self.tables[1:], self.on))
         items = ", ".join(f'{e} as "{n}"' for n, e in self.columns.items())
         return f"select {items} from {source}" + (f" where {self.where}" if self.where else "")
 
-    def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = _read(spark, sf_dir, self.tables[0])
+    def spark(self, samples: Tables) -> DataFrame:
+        df = samples[self.tables[0]]
+        if self.spread:
+            df = _spread(df, self.spread)
         for table, test in zip(self.tables[1:], self.on):
-            df = df.join(_read(spark, sf_dir, table), F.expr(test))
+            df = df.join(samples[table], F.expr(test))
         if self.where:
             df = df.filter(F.expr(self.where))
-        return df.select(*[F.expr(e).alias(n) for n, e in self.columns.items()])
-
-
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        return df.selectExpr(*[f"{e} as `{n}`" for n, e in self.columns.items()])
 
 
 def _money(column: str) -> str:
@@ -187,6 +187,7 @@ VIEWS: dict[str, View] = {
             "created_at": "o_orderdate",
             "content": PRE_CONTENT,
         },
+        spread="o_orderkey",
     ),
     "billing": View(
         LINES,
@@ -224,6 +225,7 @@ VIEWS: dict[str, View] = {
             "created_at": RESPONSE_DAY,
             "response_from": "case when event_id % 6 = 0 then null else 'SRC' || " + _text("event_id % 6") + " end",
         },
+        spread="event_id",
     ),
     "client_raw_bills": View(
         ORDERS,
@@ -239,6 +241,7 @@ VIEWS: dict[str, View] = {
             "content": RAW_CONTENT,
             "claim_content": CLAIM_CONTENT,
         },
+        spread="o_orderkey",
     ),
     "raw_bills": View(
         ("lineitem",),
@@ -255,6 +258,7 @@ VIEWS: dict[str, View] = {
                 patient_gender="case l_partkey % 2 when 0 then 'F' else '' end",
             ),
         },
+        spread="l_orderkey",
     ),
     "pending_bills": View(
         ("events",),
@@ -271,6 +275,7 @@ VIEWS: dict[str, View] = {
             )
         ),
         "event_type not in ('error', 'signup')",
+        spread="event_id",
     ),
     "rejected_bills": View(
         ("events",),
@@ -287,6 +292,7 @@ VIEWS: dict[str, View] = {
             ),
         ),
         "event_type in ('error', 'signup')",
+        spread="event_id",
     ),
     "customers": View(
         ("nation", "region"),
@@ -408,11 +414,36 @@ VIEWS: dict[str, View] = {
             "then 'F' || " + _text("event_id % 4") + " || ' > pay-ment  >  note ' || " + _text("event_id % 40")
             + " else 'P1 > pending' end",
         },
+        spread="event_id",
     ),
 }
 
 
+SAMPLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
+
+
+def _spread(df: DataFrame, column: str) -> DataFrame:
+    """Rows over all cores when the scan has fewer splits than that.
+
+    A sample file has one row group, so one task would make and parse all JSON texts of a view.
+    Larger tables have enough splits and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, column) if df.rdd.getNumPartitions() < cores else df
+
+
+_schemas: dict[str, T.StructType] = {}
+
+
+def _sample(spark: SparkSession, path: str) -> DataFrame:
+    """A sample table; its footer is looked at once per process."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The claim tables over the sample tables."""
     tune(spark)
-    return Tables({name: (lambda v=view: v.spark(spark, sf_dir)) for name, view in VIEWS.items()})
+    samples = Tables({n: (lambda n=n: _sample(spark, f"{sf_dir}/{n}.parquet")) for n in SAMPLES})
+    return Tables({name: (lambda v=view: v.spark(samples)) for name, view in VIEWS.items()})

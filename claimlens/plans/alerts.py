@@ -130,10 +130,15 @@ def _fill_from_pre_billing(rows: DataFrame, keys: DataFrame, t: Mapping[str, Dat
     )
 
 
-def refresh_billed(state: DataFrame, t: Mapping[str, DataFrame], flag: str = "refreshed") -> DataFrame:
+def refresh_billed(
+    state: DataFrame, t: Mapping[str, DataFrame], flag: str = "refreshed", keys: DataFrame | None = None
+) -> DataFrame:
     """Unprocessed alerts whose record was billed on or after the alert's day become processed on
-    the day of its latest bill. ``flag`` marks the changed rows."""
-    waiting = state.filter(~F.col("processed")).select("pm_sk")
+    the day of its latest bill. ``flag`` marks the changed rows.
+
+    Bills are read for ``keys``, which must hold the ``pm_sk`` of every unprocessed alert.
+    """
+    waiting = state.filter(~F.col("processed")) if keys is None else keys
     bills = (
         _only_keys(t["billing"], waiting).groupBy("pm_sk").agg(F.to_date(F.max("created_at")).alias("bill_date"))
     )
@@ -160,8 +165,12 @@ def ingest_alerts(
     lines = good_lines(parsed)
     today = as_of.date()
     rows = _fill_from_billing(_with_lines(state, lines, as_of), lines, t, today)
-    touched = rows.filter(on_day(F.col("created_at"), today)).select("pm_sk")
-    rows = refresh_billed(_fill_from_pre_billing(rows, touched, t, today), t)
+    # records of alerts that may change, taken from the inputs and not from the steps between
+    unset = F.col("processed").isNull() & on_day(F.col("created_at"), today)
+    added = lines.select("pm_sk")
+    of_today = state.filter(on_day(F.col("created_at"), today)).select("pm_sk").union(added)
+    waiting = state.filter(~F.col("processed") | unset).select("pm_sk").union(added)
+    rows = refresh_billed(_fill_from_pre_billing(rows, of_today, t, today), t, keys=waiting)
     metrics = _metrics(
         rows,
         {

@@ -103,7 +103,7 @@ def latest_response_lists(t: Mapping[str, DataFrame], cust_ids=None, list_limit:
         "all_notes": TextList(F.when(F.length(note) > SHORT_NOTE, note), "; "),
     }
     day = F.to_date(F.max("created_at")).cast("string").alias("response_date")
-    return group_lists(last, KEYS, lists, [day], list_limit)
+    return group_lists(last, KEYS, lists, [day], list_limit, counted=rows)
 
 
 def account_payments(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:

@@ -10,7 +10,7 @@ from claimlens import schemas
 
 
 class Tables(Mapping):
-    """Lazily opened tables by name.
+    """Tables by name, each opened (not read) once, when it is first asked for.
 
     ``renames`` maps table name to ``{own column: library column}``, for a database whose
     columns carry other names than ``schemas``.
@@ -23,11 +23,15 @@ class Tables(Mapping):
     ) -> None:
         self._openers = dict(openers)
         self._renames = dict(renames or {})
+        self._open: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        opener = self._openers[name]
-        df = opener() if callable(opener) else opener
-        return df.withColumnsRenamed(dict(self._renames.get(name, {})))
+        if name not in self._open:
+            opener = self._openers[name]
+            df = opener() if callable(opener) else opener
+            renames = self._renames.get(name)
+            self._open[name] = df.withColumnsRenamed(dict(renames)) if renames else df
+        return self._open[name]
 
     def __iter__(self):
         return iter(self._openers)
