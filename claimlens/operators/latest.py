@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_rows(df: DataFrame, keys: Sequence[str], stamp: str, blank_keys: bool = False) -> DataFrame:
+def latest_rows(
+    df: DataFrame, keys: Sequence[str], stamp: str, blank_keys: bool = False, keep_unknown: bool = True
+) -> DataFrame:
     """Rows of each group that carry its greatest ``stamp``.
 
     A group whose stamps are all NULL, or with a NULL key, gives one row that holds its keys
-    (NULL too with ``blank_keys``) and nothing else.
+    (NULL too with ``blank_keys``) and nothing else. ``keep_unknown=False`` leaves those rows out,
+    for results that are left-joined on the keys and would show nothing of them.
 
     The maximum is a partial aggregate and the join back is an inner join on the keys and the
     stamp, so a group with very many rows is spread by stamp and can be split by the skew join.
@@ -29,6 +32,8 @@ def latest_rows(df: DataFrame, keys: Sequence[str], stamp: str, blank_keys: bool
         test = test & (F.col(k) == F.col("_k_" + k))
     hits = df.join(twins, test).select(*df.columns)
 
+    if not keep_unknown:
+        return hits
     empty = [
         F.col(f.name) if f.name in keys and not blank_keys else F.lit(None).cast(f.dataType).alias(f.name)
         for f in df.schema.fields

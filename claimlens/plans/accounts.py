@@ -6,7 +6,7 @@ so an account with very many rows is reduced before any join.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,68 +52,99 @@ def statuses_text(sep: str = ";  ") -> Column:
     return F.when(F.size("statuses") > 0, F.array_join("statuses", sep))
 
 
-def _both_sources(t: Mapping[str, DataFrame], keep: Column, values: Mapping[str, Column]) -> DataFrame:
-    """Aggregates of both payment tables side by side: ``a`` and ``b`` hold one struct each, NULL
-    where the account has no row in that table. One shuffle for both tables."""
+def _per_source(t: Mapping[str, DataFrame], parts: Mapping[str, Callable]) -> DataFrame:
+    """Results of both payment tables side by side, in one pass and one shuffle.
+
+    ``parts`` maps a name to a function from a row test to named aggregates. The column
+    ``<name>_a`` (``_b``) holds the first (second) table's results as a struct, NULL where the
+    account has no such payment there. Duplicates are left out.
+    """
     rows = (
         t["payments_a"]
         .select("*", F.lit("a").alias("source"))
         .unionByName(t["payments_b"].select("*", F.lit("b").alias("source")))
-        .filter(keep)
-    )
-    per_source = rows.groupBy("pat_acct", "source").agg(*[v.alias(n) for n, v in values.items()])
-    cell = F.struct(*values)
-    return per_source.groupBy("pat_acct").agg(
-        F.max(F.when(F.col("source") == "a", cell)).alias("a"),
-        F.max(F.when(F.col("source") == "b", cell)).alias("b"),
+        .filter(~F.col("duplicate_payment"))
     )
+    aggs, cells = [], []
+    for name, (keep, values) in parts.items():
+        for source in ("a", "b"):
+            test = keep & (F.col("source") == source)
+            named = values(lambda c, test=test: F.when(test, F.col(c)))
+            prefix = f"_{name}_{source}_"
+            aggs += [F.count(F.when(test, 1)).alias(prefix), *[v.alias(prefix + n) for n, v in named.items()]]
+            cell = F.struct(*[F.col(prefix + n).alias(n) for n in named])
+            cells.append(F.when(F.col(prefix) > 0, cell).alias(f"{name}_{source}"))
+    return rows.groupBy("pat_acct").agg(*aggs).select("pat_acct", *cells)
+
+
+def _union(name: str) -> Column:
+    """The distinct results of the two tables (``UNION``) as an array."""
+    return F.array_distinct(F.array_compact(F.array(f"{name}_a", f"{name}_b")))
+
 
+def _unbilled(pick: Callable[[str], Column]) -> dict[str, Column]:
+    return {
+        "amount": F.round(F.sum(pick("payment")), 0),
+        "payer_set": F.sort_array(F.collect_set(pick("insurance_name"))),
+    }
 
-def _union_rows(pairs: DataFrame) -> DataFrame:
-    """One row per distinct source result (``UNION``)."""
-    results = F.array_distinct(F.array_compact(F.array("a", "b")))
-    return pairs.select("pat_acct", F.explode(results).alias("r")).select("pat_acct", "r.*")
 
+def _billed(pick: Callable[[str], Column]) -> dict[str, Column]:
+    return {"payment_date": F.min(pick("payment_date")), "posting_date": F.min(pick("payment_post_date"))}
 
-def unbilled_payments(t: Mapping[str, DataFrame], sep: str, one_row_per_account: bool = False) -> DataFrame:
+
+def _payers_text(payers: Column, sep: str) -> Column:
+    return F.when(F.size(payers) > 0, F.array_join(payers, sep))
+
+
+def unbilled_payments(t: Mapping[str, DataFrame], sep: str) -> DataFrame:
     """``pat_acct``, ``amount``, ``payers`` of payments that are no duplicates and not billed.
 
-    An account in both payment tables has two rows, unless ``one_row_per_account`` adds the rounded
-    amounts and merges the payer lists.
+    An account in both payment tables has two rows, one if they say the same.
+    """
+    pairs = _per_source(t, {"unbilled": (F.col("not_billed"), _unbilled)})
+    rows = pairs.select("pat_acct", F.explode(_union("unbilled")).alias("r"))
+    return rows.select("pat_acct", F.col("r.amount").alias("amount"), _payers_text(F.col("r.payer_set"), sep).alias("payers"))
+
+
+def account_payments(t: Mapping[str, DataFrame], sep: str, one_row_per_account: bool = False) -> DataFrame:
+    """``unbilled_payments`` together with the earliest ``payment_date`` and ``posting_date`` of the
+    billed payments.
+
+    An account has a row for every combination of distinct results of the two tables. With
+    ``one_row_per_account`` the rounded amounts are added, the payers merged, and the earliest dates
+    taken.
     """
-    keep = ~F.col("duplicate_payment") & F.col("not_billed")
-    pairs = _both_sources(
-        t,
-        keep,
-        {"amount": F.round(F.sum("payment"), 0), "payer_set": F.sort_array(F.collect_set("insurance_name"))},
+    pairs = _per_source(
+        t, {"unbilled": (F.col("not_billed"), _unbilled), "billed": (~F.col("not_billed"), _billed)}
     )
-    text = F.when(F.size("payer_set") > 0, F.array_join("payer_set", sep)).alias("payers")
     if not one_row_per_account:
-        return _union_rows(pairs).select("pat_acct", "amount", text)
+        return (
+            pairs.select("pat_acct", F.explode_outer(_union("unbilled")).alias("u"), _union("billed").alias("dates"))
+            .select("pat_acct", "u", F.explode_outer("dates").alias("d"))
+            .select(
+                "pat_acct",
+                F.col("u.amount").alias("amount"),
+                _payers_text(F.col("u.payer_set"), sep).alias("payers"),
+                F.col("d.payment_date").alias("payment_date"),
+                F.col("d.posting_date").alias("posting_date"),
+            )
+        )
     none = F.array().cast("array<string>")
+    a, b = F.col("unbilled_a"), F.col("unbilled_b")
     amount = F.when(
-        F.coalesce("a.amount", "b.amount").isNotNull(),
-        F.coalesce("a.amount", F.lit(0)) + F.coalesce("b.amount", F.lit(0)),
+        F.coalesce(a["amount"], b["amount"]).isNotNull(),
+        F.coalesce(a["amount"], F.lit(0)) + F.coalesce(b["amount"], F.lit(0)),
     )
-    payer_set = F.sort_array(F.array_union(F.coalesce("a.payer_set", none), F.coalesce("b.payer_set", none)))
-    return pairs.select("pat_acct", amount.alias("amount"), payer_set.alias("payer_set")).select(
-        "pat_acct", "amount", text
-    )
-
-
-def billed_payment_dates(t: Mapping[str, DataFrame], one_row_per_account: bool = False) -> DataFrame:
-    """``pat_acct``, earliest ``payment_date`` and ``posting_date`` of billed payments."""
-    keep = ~F.col("duplicate_payment") & ~F.col("not_billed")
-    pairs = _both_sources(
-        t, keep, {"payment_date": F.min("payment_date"), "posting_date": F.min("payment_post_date")}
-    )
-    if not one_row_per_account:
-        return _union_rows(pairs)
+    payers = F.sort_array(F.array_union(F.coalesce(a["payer_set"], none), F.coalesce(b["payer_set"], none)))
+    earliest = lambda c: F.least(F.col("billed_a")[c], F.col("billed_b")[c]).alias(c)
     return pairs.select(
         "pat_acct",
-        F.least("a.payment_date", "b.payment_date").alias("payment_date"),
-        F.least("a.posting_date", "b.posting_date").alias("posting_date"),
-    )
+        amount.alias("amount"),
+        payers.alias("payer_set"),
+        earliest("payment_date"),
+        earliest("posting_date"),
+    ).select("pat_acct", "amount", _payers_text(F.col("payer_set"), sep).alias("payers"), "payment_date", "posting_date")
 
 
 def first_received(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -124,8 +155,3 @@ def first_received(t: Mapping[str, DataFrame]) -> DataFrame:
 def first_billing(t: Mapping[str, DataFrame]) -> DataFrame:
     """``pat_acct``, ``first_billing_date``."""
     return t["billing"].groupBy("pat_acct").agg(F.min("bill_sent_at").alias("first_billing_date"))
-
-
-def billing_days(t: Mapping[str, DataFrame]) -> DataFrame:
-    """``pm_sk``, ``bill_date``: day of the latest bill of a record."""
-    return t["billing"].groupBy("pm_sk").agg(F.to_date(F.max("created_at")).alias("bill_date"))

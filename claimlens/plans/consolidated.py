@@ -55,7 +55,7 @@ def latest_status(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
         pg_concat(F.col("status_desc"), " -- ", F.col("default_x12_code"), " -- ", F.col("usage")).alias("status_description"),
     )
     return (
-        latest_rows(rows, KEYS, "status_date")
+        latest_rows(rows, KEYS, "status_date", keep_unknown=False)
         .join(texts, "status_code", "left")
         .select(*KEYS, "status_date", F.col("status_code").alias("account_status"), "status_description")
     )
@@ -72,7 +72,7 @@ def latest_bill(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
             pg_concat(F.col("sending_method"), "_OB_", F.col("vendor")).alias("claim_submission_date"),
         )
     )
-    return latest_rows(rows, KEYS, "bill_drop_date")
+    return latest_rows(rows, KEYS, "bill_drop_date", keep_unknown=False)
 
 
 def latest_response_lists(t: Mapping[str, DataFrame], cust_ids=None, list_limit: int = LIST_LIMIT) -> DataFrame:
@@ -106,7 +106,7 @@ def latest_response_lists(t: Mapping[str, DataFrame], cust_ids=None, list_limit:
     return group_lists(last, KEYS, lists, [day], list_limit, counted=rows)
 
 
-def account_payments(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
+def posted_payments(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     return (
         t["transactions"]
         .filter(among(F.col("cust_id"), cust_ids) & ~F.col("duplicate_payment"))
@@ -139,7 +139,7 @@ def consolidated_claims(t: Mapping[str, DataFrame], cust_ids=None, list_limit: i
         latest_status(t, cust_ids),
         latest_bill(t, cust_ids),
         latest_response_lists(t, cust_ids, list_limit),
-        account_payments(t, cust_ids),
+        posted_payments(t, cust_ids),
         account_sources(t, cust_ids, list_limit),
     ):
         joined = joined.join(satellite, KEYS, "left")

@@ -13,7 +13,7 @@ from claimlens.functions.flags import not_among, rows_where, share, yes_no_null
 from claimlens.functions.text import json_text
 from claimlens.operators.lists import LIST_LIMIT, TextList, list_items, set_text, text_lists
 from claimlens.plans.accounts import (
-    billed_payment_dates,
+    account_payments,
     first_billing,
     first_received,
     statuses_text,
@@ -283,14 +283,13 @@ def account_opportunity(
             parts(F.col("home")).alias("insured_state"),
         )
     )
-    payments = unbilled_payments(t, payment_sep, one_row_per_account).withColumnsRenamed(
+    payments = account_payments(t, payment_sep, one_row_per_account).withColumnsRenamed(
         {"amount": "not_billed_acct_payment", "payers": "not_billed_acct_payer"}
     )
     star = (
         with_statuses(base, t)
         .join(payments, "pat_acct", "left")
         .join(first_received(t), "pat_acct", "left")
-        .join(billed_payment_dates(t, one_row_per_account), "pat_acct", "left")
         .join(first_billing(t), "pat_acct", "left")
         .join(t["customers"].select("cust_id", "master_id"), "cust_id", "left")
     )
