@@ -33,8 +33,8 @@ STATUS_ROWS = (
     ("REJ00", "Placement returned for rejection (does not meet processing criteria or failed data edit review)", " ", "{prefix} returned, placement rejected"),
     ("DRP00", "Bill has been dropped to the carrier, may provide a carrier name", " ", "{prefix} reserved, dropped bill"),
     ("RLS01", "{agency} workflows have ended and an account has been returned to the client", " ", "{prefix} returned, not eligible"),
-    ("RLS02", "{agency} reserves the account for MVA payment, the client may bill the next responsible party", " ", "{prefix} reserved, move to next carrier"),
-    ("RLS03", "{agency} reserves the account for continued pursuit of recovery with an attorney, client should not bill other parties", " ", "{prefix} reserved, attorney on record"),
+    ("RLS02", "{agency} reserves the account for MVA payment, the client may bill the next responsible party. This code may be used to trigger the client’s billing system to bill the next responsible party after a mutually defined number of days following initial placement with {agency}. Presence of “carrier” is advising that the health payer can be considered as secondary to the MVA carrier (per client’s discretion).", " ", "{prefix} reserved, move to next carrier"),
+    ("RLS03", "{agency} reserves the account for continued pursuit of recovery with an attorney, client should not bill other parties, {agency} may provide law firm as carrier", " ", "{prefix} reserved, attorney on record"),
     ("RLS04", "Agency placement returned without payment", " ", "{prefix} returned, without payment"),
     ("RLS05", "Agency placement returned with payment", " ", "{prefix} returned, with payment"),
     ("RLS06", "{agency} reserves account with partial payment", " ", "{prefix} reserved, partial payment received"),

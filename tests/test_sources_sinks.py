@@ -1,5 +1,3 @@
-import datetime as dt
-
 from conftest import day, dicts, frame, rows
 from pyspark.sql import functions as F
 
