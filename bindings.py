@@ -61,6 +61,8 @@ def _json(**fields: str) -> str:
 
 ORDERS = ("orders", "customer")
 ORDERS_ON = ("o_custkey = c_custkey",)
+EVENTS = ("events", "customer")
+EVENTS_ON = ("user_id = c_custkey",)
 LINES = ("lineitem", "orders", "customer")
 LINES_ON = ("l_orderkey = o_orderkey", "o_custkey = c_custkey")
 
@@ -141,7 +143,8 @@ EVENT_JSON = dict(
 def _bill(**more: str) -> dict[str, str]:
     return {
         "created_at": "ts",
-        "cust_id": "cast(user_id % 30 as int)",
+        # some customers are not known
+        "cust_id": "case when event_id % 5 = 0 then cast(user_id % 30 as int) else c_nationkey end",
         "pat_acct": "case when event_id % 4 = 0 then 'N-' || " + USER + " else " + USER + " end",
         "admit_date_or_service_date": BILL_DATES,
         "discharge_date": "case event_id % 3 when 0 then '/  /' when 1 then '' else '2024-02-01' end",
@@ -214,11 +217,11 @@ VIEWS: dict[str, View] = {
         },
     ),
     "claim_responses": View(
-        ("events",),
-        (),
+        EVENTS,
+        EVENTS_ON,
         {
             "pm_sk": "1000000 + event_id",
-            "cust_id": "cast(user_id % 25 as int)",
+            "cust_id": "c_nationkey",
             "pat_acct": USER,
             "code": RESPONSE_CODE,
             "note": RESPONSE_NOTE,
@@ -261,8 +264,8 @@ VIEWS: dict[str, View] = {
         spread="l_orderkey",
     ),
     "pending_bills": View(
-        ("events",),
-        (),
+        EVENTS,
+        EVENTS_ON,
         _bill(
             content=_json(
                 **EVENT_JSON,
@@ -278,8 +281,8 @@ VIEWS: dict[str, View] = {
         spread="event_id",
     ),
     "rejected_bills": View(
-        ("events",),
-        (),
+        EVENTS,
+        EVENTS_ON,
         _bill(
             patient_firstname="case event_id % 2 when 0 then '' else 'Cyn' end",
             patient_lastname="case event_id % 3 when 0 then null else 'Jones' end",
