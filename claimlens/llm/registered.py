@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from claimlens.llm import op4_bpe_automaton, op8_url_filter
+from claimlens.llm import op4_bpe_automaton, op8_url_filter, op9_best_fit_packing
 
 QUERIES = {
     "op4_bpe_automaton": op4_bpe_automaton.query,
     "op8_url_filter": op8_url_filter.query,
+    "op9_best_fit_packing": op9_best_fit_packing.query,
 }
 
 ORACLES = {
