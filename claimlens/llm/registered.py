@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from claimlens.llm import op4_bpe_automaton, op8_url_filter, op9_best_fit_packing
+from claimlens.llm import op3_quality_gam, op4_bpe_automaton, op8_url_filter, op9_best_fit_packing, op10_va_topk
 
 QUERIES = {
+    "op3_quality_gam": op3_quality_gam.query,
     "op4_bpe_automaton": op4_bpe_automaton.query,
     "op8_url_filter": op8_url_filter.query,
     "op9_best_fit_packing": op9_best_fit_packing.query,
+    "op10_va_topk": op10_va_topk.query,
 }
 
 ORACLES = {
+    "op10_va_topk": op10_va_topk.oracle(),
     "op8_url_filter": op8_url_filter.oracle(),
 }
