@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from claimlens.llm import op3_quality_gam, op4_bpe_automaton, op8_url_filter, op9_best_fit_packing, op10_va_topk
+from claimlens.llm import (
+    op1_pii,
+    op2_spotsigs,
+    op3_quality_gam,
+    op4_bpe_automaton,
+    op8_url_filter,
+    op9_best_fit_packing,
+    op10_va_topk,
+)
 
 QUERIES = {
+    "op1_pii": op1_pii.query,
+    "op2_spotsigs": op2_spotsigs.query,
     "op3_quality_gam": op3_quality_gam.query,
     "op4_bpe_automaton": op4_bpe_automaton.query,
     "op8_url_filter": op8_url_filter.query,
