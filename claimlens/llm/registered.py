@@ -7,6 +7,7 @@ from claimlens.llm import (
     op2_spotsigs,
     op3_quality_gam,
     op4_bpe_automaton,
+    op5_suffix_dedup,
     op6_chosen_path_join,
     op8_url_filter,
     op9_best_fit_packing,
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_spotsigs": op2_spotsigs.query,
     "op3_quality_gam": op3_quality_gam.query,
     "op4_bpe_automaton": op4_bpe_automaton.query,
+    "op5_suffix_dedup": op5_suffix_dedup.query,
     "op6_chosen_path_join": op6_chosen_path_join.query,
     "op8_url_filter": op8_url_filter.query,
     "op9_best_fit_packing": op9_best_fit_packing.query,
