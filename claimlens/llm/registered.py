@@ -9,6 +9,7 @@ from claimlens.llm import (
     op4_bpe_automaton,
     op5_suffix_dedup,
     op6_chosen_path_join,
+    op7_license_scan,
     op8_url_filter,
     op9_best_fit_packing,
     op10_va_topk,
@@ -21,6 +22,7 @@ QUERIES = {
     "op4_bpe_automaton": op4_bpe_automaton.query,
     "op5_suffix_dedup": op5_suffix_dedup.query,
     "op6_chosen_path_join": op6_chosen_path_join.query,
+    "op7_license_scan": op7_license_scan.query,
     "op8_url_filter": op8_url_filter.query,
     "op9_best_fit_packing": op9_best_fit_packing.query,
     "op10_va_topk": op10_va_topk.query,
