@@ -238,6 +238,19 @@ def scored(documents: DataFrame, model: Gam) -> DataFrame:
     return texts(documents).mapInArrow(score, SCORED)
 
 
+def kept(documents: DataFrame, model: Gam, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, whose score reaches the threshold; no shuffle."""
+    columns = documents.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(columns.index("text"))
+            x = feature_matrix([t.as_py() or "" for t in text])
+            yield batch.filter(pa.array(model.score(x) >= threshold))
+
+    return documents.mapInArrow(keep, documents.schema)
+
+
 def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Score and decision of each document by a model trained here."""
     return scored(documents, train(documents, labels)).select(
