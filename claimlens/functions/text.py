@@ -38,11 +38,13 @@ def quoted(value: Column) -> Column:
 
 
 def pg_initcap(value: Column) -> Column:
-    """Upper-case the first letter of every run of letters and digits, lower-case the rest."""
-    runs = F.regexp_extract_all(F.lower(value), F.lit(r"([a-z0-9]+|[^a-z0-9]+)"), F.lit(1))
-    return F.array_join(
-        F.transform(runs, lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.substr(p, F.lit(2)))), ""
-    )
+    """Upper-case the first letter of every run of letters and digits, lower-case the rest.
+
+    Every other character is followed by a mark and a blank while the built-in function runs, which
+    takes words at blanks only.
+    """
+    marked = F.initcap(F.regexp_replace(value, r"([^\p{L}\p{N} ])", "$1\u0001 "))
+    return F.replace(marked, F.lit("\u0001 "), F.lit(""))
 
 
 def contains_ci(value: Column, pattern: str) -> Column:

@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def left_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left outer equi join that keeps one copy of the keys."""
-    return left.join(right, list(keys), "left")
-
-
 def coalesced_full_join(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join of two frames with the same columns; the first frame's value wins."""
     keys = list(keys)

@@ -1,15 +1,16 @@
-"""Text lists per group (``string_agg``), built so that no task holds an unbounded group.
+"""Text lists per group (``string_agg``). A cell always holds every item of its list.
 
-Three forms, by what is known about the number of items:
+Three forms, by what is known about the groups:
 
 * ``set_text`` / ``bag_text`` are plain aggregates, for values from a small domain
   (stage codes, statuses, payers of one account, states).
 * ``text_lists`` is for few large groups, such as the accounts of one payer. Items are
-  made distinct first, spread over ``(keys, list, item)``; only lists of at most ``limit``
-  items are assembled in one cell. A longer one shows its first item and its size.
-* ``group_lists`` is for many small groups with an occasional huge one, such as accounts.
-  Groups of at most ``limit`` rows take one aggregation, the others go through ``text_lists``.
+  made distinct first, spread over ``(keys, list, item)``, then brought together in two
+  steps: sorted pieces over salted sub-keys, and one merge of the pieces per key.
+* ``group_lists`` is for many groups, such as accounts: one aggregation, with partial lists
+  per task before the shuffle.
 
+A list that does not fit one cell of Spark (2 GB) makes the query fail; it is never cut.
 ``list_items`` is the long form and always holds every item of every list.
 """
 
@@ -21,8 +22,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LIST_LIMIT = 100_000
-BROADCAST_KEYS = 10_000
 SALTS = 32
 
 
@@ -84,81 +83,28 @@ def list_items(df: DataFrame, keys: Sequence[str], lists: Mapping[str, TextList]
     )
 
 
-def text_lists(
-    df: DataFrame, keys: Sequence[str], lists: Mapping[str, TextList], limit: int = LIST_LIMIT
-) -> DataFrame:
-    """One row per key that has any item, one text column per list.
-
-    The size and first item of every list are partial aggregates. Items meet their list's size in
-    a salted join, and of a list over the limit only the first item passes it, so a long list is
-    never brought together.
-    """
+def text_lists(df: DataFrame, keys: Sequence[str], lists: Mapping[str, TextList]) -> DataFrame:
+    """One row per key that has any item, one text column per list."""
     keys = list(keys)
     group = [*keys, "list_name"]
     items = list_items(df, keys, lists).withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(SALTS)).cast("int"))
-    sizes = (
-        list_items(df, keys, lists)
-        .groupBy(*group)
-        .agg(F.sum("copies").alias("total"), F.min("item").alias("first_item"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    fitting = F.col("total") <= limit
-    twins = [*group, "salt"]
-    rows = items.join(
-        prefixed(sizes, twins, "_s_"), same_key(twins, "_s_") & (fitting | (F.col("item") == F.col("first_item")))
-    )
-
+    entry = F.struct("item", F.col("copies").cast("int").alias("copies"))
+    pieces = items.groupBy(*group, "salt").agg(F.sort_array(F.collect_list(entry)).alias("piece"))
     sep = F.lit(None).cast("string")
     for name, spec in lists.items():
         sep = F.when(F.col("list_name") == name, F.lit(spec.sep)).otherwise(sep)
-    kept = F.when(fitting, F.col("copies")).otherwise(1).cast("int").alias("copies")
-    bag = F.sort_array(F.collect_list(F.struct("item", kept)))
-    whole = F.call_function(
-        "array_join", F.flatten(F.transform("bag", lambda x: F.array_repeat(x["item"], x["copies"]))), sep
-    )
-    head = F.concat(F.col("first_item"), sep, F.lit("... ("), F.col("total").cast("string"), F.lit(" items)"))
-    cells = (
-        rows.groupBy(*group)
-        .agg(bag.alias("bag"), F.max("total").alias("total"), F.max("first_item").alias("first_item"))
-        .select(*keys, "list_name", F.when(fitting, whole).otherwise(head).alias("cell"))
-    )
+    whole = F.sort_array(F.flatten(F.collect_list("piece"))).alias("bag")
+    bags = any(not spec.distinct for spec in lists.values())
+    texts = F.flatten(F.transform("bag", lambda x: F.array_repeat(x["item"], x["copies"]))) if bags else F.col("bag.item")
+    cells = pieces.groupBy(*group).agg(whole).select(*keys, "list_name", F.call_function("array_join", texts, sep).alias("cell"))
     return cells.groupBy(*keys).agg(
         *[F.max(F.when(F.col("list_name") == name, F.col("cell"))).alias(name) for name in lists]
     )
 
 
 def group_lists(
-    df: DataFrame,
-    keys: Sequence[str],
-    lists: Mapping[str, TextList],
-    aggs: Sequence[Column] = (),
-    limit: int = LIST_LIMIT,
-    counted: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], lists: Mapping[str, TextList], aggs: Sequence[Column] = ()
 ) -> DataFrame:
-    """One row per key: the aggregates and one text column per list.
-
-    Runs one counting job when called: the keys with more than ``limit`` rows in ``counted``
-    (``df``, or a cheaper frame with at least its rows). Usually there are none, and one
-    aggregation is left. Otherwise those keys are kept out of the plain lists and get theirs from
-    ``text_lists``; they are broadcast only when the job has counted few of them.
-    """
-    keys = list(keys)
-    source = df if counted is None else counted
-    large = source.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit).select(*keys)
-    found = large.limit(BROADCAST_KEYS + 1).count()
-    text = lambda spec, value: (set_text if spec.distinct else bag_text)(value, spec.sep)
-    if not found:
-        return df.groupBy(*keys).agg(*aggs, *[text(spec, spec.value).alias(name) for name, spec in lists.items()])
-
-    marks = prefixed(large, keys, "_l_").withColumn("_large", F.lit(True))
-    if found <= BROADCAST_KEYS:
-        marks = F.broadcast(marks)
-    tagged = df.join(marks, same_key(keys, "_l_"), "left")
-    small = F.col("_large").isNull()
-    plain = [text(spec, F.when(small, spec.value)).alias(name) for name, spec in lists.items()]
-    base = tagged.groupBy(*keys).agg(*aggs, *plain)
-    cells = prefixed(text_lists(tagged.filter(~small), keys, lists, limit), [*keys, *lists], "_c_")
-    return base.join(cells, same_key(keys, "_c_"), "left").select(
-        *[c for c in base.columns if c not in lists],
-        *[F.coalesce(name, "_c_" + name).alias(name) for name in lists],
-    )
+    """One row per key: the aggregates and one text column per list, in one aggregation."""
+    text = lambda spec: (set_text if spec.distinct else bag_text)(spec.value, spec.sep)
+    return df.groupBy(*keys).agg(*aggs, *[text(spec).alias(name) for name, spec in lists.items()])

@@ -32,7 +32,10 @@ def actionable_responses(t: Mapping[str, DataFrame], rules=RESPONSE_RULES) -> Da
     return (
         t["claim_responses"]
         .filter(F.col("response_from").isNotNull() & response_rule(F.col("code"), F.col("note"), rules))
-        .orderBy(F.desc_nulls_first("created_at"))
+        .orderBy(
+            F.desc_nulls_first("created_at"),
+            *[F.asc_nulls_last(c) for c in ("cust_id", "pat_acct", "response_from", "code", "note")],
+        )
     )
 
 
@@ -119,6 +122,7 @@ def match_aging_listing(t: Mapping[str, DataFrame], as_of: dt.date, days: int =
     return (
         match_aging(t, as_of, days)
         .join(names, "cust_id", "left")
+        # the account is the last key, so that one day of a customer does not fill one partition of the sort
+        .orderBy(F.desc_nulls_first("info_received"), F.asc_nulls_last("cust_id"), F.asc_nulls_last("pat_acct"))
         .select("cust_id", "cust_name", "info_received", "info_matched_payer_name", "tot_matches", *BUCKETS)
-        .orderBy(F.desc_nulls_first("info_received"), F.asc_nulls_last("cust_id"))
     )

@@ -11,7 +11,7 @@ from claimlens.functions.dates import parse_date
 from claimlens.functions.flags import among
 from claimlens.functions.text import blank_to_null, contains_ci, json_record, pg_concat
 from claimlens.operators.latest import latest_rows
-from claimlens.operators.lists import LIST_LIMIT, TextList, group_lists, set_text
+from claimlens.operators.lists import TextList, group_lists, set_text
 
 KEYS = ["cust_id", "pat_acct"]
 
@@ -75,7 +75,7 @@ def latest_bill(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     return latest_rows(rows, KEYS, "bill_drop_date", keep_unknown=False)
 
 
-def latest_response_lists(t: Mapping[str, DataFrame], cust_ids=None, list_limit: int = LIST_LIMIT) -> DataFrame:
+def latest_response_lists(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     """Lists over the responses with the account's latest timestamp.
 
     The lists are distinct per column, so they are taken straight from the rows; pairing every
@@ -103,7 +103,7 @@ def latest_response_lists(t: Mapping[str, DataFrame], cust_ids=None, list_limit:
         "all_notes": TextList(F.when(F.length(note) > SHORT_NOTE, note), "; "),
     }
     day = F.to_date(F.max("created_at")).cast("string").alias("response_date")
-    return group_lists(last, KEYS, lists, [day], list_limit, counted=rows)
+    return group_lists(last, KEYS, lists, [day])
 
 
 def posted_payments(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
@@ -115,7 +115,7 @@ def posted_payments(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     )
 
 
-def account_sources(t: Mapping[str, DataFrame], cust_ids=None, list_limit: int = LIST_LIMIT) -> DataFrame:
+def account_sources(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     return group_lists(
         t["pre_billing"].filter(among(F.col("cust_id"), cust_ids)),
         KEYS,
@@ -125,22 +125,22 @@ def account_sources(t: Mapping[str, DataFrame], cust_ids=None, list_limit: int =
             set_text(F.col("claim_type"), "; ").alias("claim_type"),
             set_text(F.col("insurance_name"), "; ").alias("insurance_name"),
         ],
-        list_limit,
     )
 
 
-def consolidated_claims(t: Mapping[str, DataFrame], cust_ids=None, list_limit: int = LIST_LIMIT) -> DataFrame:
+def consolidated_claims(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     """Raw bills with latest status, bill and response, payments and payers of their account.
 
-    ``cust_ids`` restricts every table; ``None`` takes all customers.
+    ``cust_ids`` restricts every table; ``None`` takes all customers. An account has a row per raw
+    bill, tied latest status and tied latest bill, as the plain joins give.
     """
     joined = received_claims(t, cust_ids)
     for satellite in (
         latest_status(t, cust_ids),
         latest_bill(t, cust_ids),
-        latest_response_lists(t, cust_ids, list_limit),
+        latest_response_lists(t, cust_ids),
         posted_payments(t, cust_ids),
-        account_sources(t, cust_ids, list_limit),
+        account_sources(t, cust_ids),
     ):
         joined = joined.join(satellite, KEYS, "left")
     return joined.select(
@@ -167,4 +167,4 @@ def consolidated_claims(t: Mapping[str, DataFrame], cust_ids=None, list_limit: i
         "response_code",
         "description",
         "all_notes",
-    ).orderBy(F.asc_nulls_last("cust_id"), F.desc_nulls_first("date_of_service"))
+    ).orderBy(F.asc_nulls_last("cust_id"), F.desc_nulls_first("date_of_service"), F.asc_nulls_last("pat_acct"))

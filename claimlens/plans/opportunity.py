@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimlens.functions.dates import day
 from claimlens.functions.flags import not_among, rows_where, share, yes_no_null
 from claimlens.functions.text import json_text
-from claimlens.operators.lists import LIST_LIMIT, TextList, list_items, set_text, text_lists
+from claimlens.operators.lists import TextList, list_items, set_text, text_lists
 from claimlens.plans.accounts import (
     account_payments,
     first_billing,
@@ -23,6 +23,15 @@ from claimlens.plans.accounts import (
 from claimlens.plans.rules import BILLED, in_scope, no_fax
 
 
+# The account is the last key, so that no value of the others fills one partition of the sort.
+def account_order() -> list[Column]:
+    return [
+        F.desc_nulls_first("pct_not_billed_record"),
+        F.desc_nulls_first("not_billed_acct_charge"),
+        F.asc_nulls_last("pat_acct"),
+    ]
+
+
 def _billed() -> Column:
     return F.col("status") == BILLED
 
@@ -58,12 +67,12 @@ def _payer_payment_rows(t: Mapping[str, DataFrame]) -> DataFrame:
     return _payer_accounts(t, _unbilled()).join(unbilled_payments(t, ";   "), "pat_acct", "left")
 
 
-def _payer_payments(t: Mapping[str, DataFrame], lists: Mapping[str, TextList], limit: int) -> DataFrame:
+def _payer_payments(t: Mapping[str, DataFrame], lists: Mapping[str, TextList]) -> DataFrame:
     rows = _payer_payment_rows(t)
     sums = rows.groupBy("insurance_name").agg(
         F.sum(F.col("amount") * F.col("records")).alias("not_billed_tot_acct_payment")
     )
-    return sums.join(text_lists(rows, ["insurance_name"], lists, limit), "insurance_name", "left")
+    return sums.join(text_lists(rows, ["insurance_name"], lists), "insurance_name", "left")
 
 
 def _payment_lists(scope: str) -> dict[str, TextList]:
@@ -82,18 +91,18 @@ def _accounts_in(t: Mapping[str, DataFrame], test: Column) -> DataFrame:
 
 
 def payer_opportunity(
-    t: Mapping[str, DataFrame], scope: str = "all", excluded_customers=(), list_limit: int = LIST_LIMIT
+    t: Mapping[str, DataFrame], scope: str = "all", excluded_customers=()
 ) -> DataFrame:
     """One row per payer: stages, record counts, unbilled share and charge, payments.
 
-    The report on all claims has every payer, the others the payers with rows in scope. A list of
-    more than ``list_limit`` items shows its head and size; ``payer_opportunity_items`` has it whole.
+    The report on all claims has every payer, the others the payers with rows in scope.
+    ``payer_opportunity_items`` has the open-ended lists in long form.
     """
     if scope == "all":
-        return _payer_all(t, list_limit)
+        return _payer_all(t)
     if scope == "not_billed":
-        return _payer_not_billed(t, list_limit)
-    return _payer_no_fax(t, excluded_customers, list_limit)
+        return _payer_not_billed(t)
+    return _payer_no_fax(t, excluded_customers)
 
 
 def payer_opportunity_items(t: Mapping[str, DataFrame], scope: str = "all", excluded_customers=()) -> DataFrame:
@@ -112,7 +121,7 @@ def payer_opportunity_items(t: Mapping[str, DataFrame], scope: str = "all", excl
     return items
 
 
-def _payer_all(t: Mapping[str, DataFrame], limit: int) -> DataFrame:
+def _payer_all(t: Mapping[str, DataFrame]) -> DataFrame:
     base = (
         t["pre_billing"]
         .groupBy("insurance_name")
@@ -127,7 +136,7 @@ def _payer_all(t: Mapping[str, DataFrame], limit: int) -> DataFrame:
         .withColumn("not_billed_avg_record_charge", _known("insurance_name", F.col("charge")))
     )
     return (
-        base.join(_payer_payments(t, _payment_lists("all"), limit), "insurance_name", "left")
+        base.join(_payer_payments(t, _payment_lists("all")), "insurance_name", "left")
         .join(_payer_statuses(t, F.lit(True)), "insurance_name", "left")
         .select(
             "insurance_name",
@@ -155,7 +164,7 @@ def _scope_columns(test: Column, dates: str, charge: str) -> list[Column]:
     ]
 
 
-def _payer_not_billed(t: Mapping[str, DataFrame], limit: int) -> DataFrame:
+def _payer_not_billed(t: Mapping[str, DataFrame]) -> DataFrame:
     base = (
         t["pre_billing"]
         .groupBy("insurance_name")
@@ -169,10 +178,10 @@ def _payer_not_billed(t: Mapping[str, DataFrame], limit: int) -> DataFrame:
         .withColumn("not_billed_record", _known("insurance_name", F.col("unbilled")))
         .withColumn("pct_not_billed_record", share(F.col("not_billed_record"), F.col("pre_billing_record")))
     )
-    accounts = text_lists(_accounts_in(t, _unbilled()), ["insurance_name"], _account_list(), limit)
+    accounts = text_lists(_accounts_in(t, _unbilled()), ["insurance_name"], _account_list())
     return (
         base.join(accounts.withColumnRenamed("insurance_name", "payer"), F.col("insurance_name").eqNullSafe(F.col("payer")), "left")
-        .join(_payer_payments(t, _payment_lists("not_billed"), limit), "insurance_name", "left")
+        .join(_payer_payments(t, _payment_lists("not_billed")), "insurance_name", "left")
         .join(_payer_statuses(t, _unbilled()), "insurance_name", "left")
         .select(
             "insurance_name",
@@ -192,7 +201,7 @@ def _payer_not_billed(t: Mapping[str, DataFrame], limit: int) -> DataFrame:
     )
 
 
-def _payer_no_fax(t: Mapping[str, DataFrame], excluded_customers, limit: int) -> DataFrame:
+def _payer_no_fax(t: Mapping[str, DataFrame], excluded_customers) -> DataFrame:
     kept = not_among(F.col("cust_id"), excluded_customers)
     faxless = no_fax(excluded_customers)
     base = (
@@ -210,7 +219,7 @@ def _payer_no_fax(t: Mapping[str, DataFrame], excluded_customers, limit: int) ->
         .withColumn("no_fax", _known("insurance_name", F.col("faxless")))
         .withColumn("pct_no_fax_record_not_billed", share(F.col("no_fax"), F.col("not_billed_record")))
     )
-    accounts = text_lists(_accounts_in(t, faxless), ["insurance_name"], _account_list(), limit)
+    accounts = text_lists(_accounts_in(t, faxless), ["insurance_name"], _account_list())
     return (
         base.join(accounts.withColumnRenamed("insurance_name", "payer"), F.col("insurance_name").eqNullSafe(F.col("payer")), "left")
         .join(_payer_statuses(t, faxless), "insurance_name", "left")
@@ -318,4 +327,4 @@ def account_opportunity(
         "insured_state",
         "accident_state",
         yes_no_null(place == home, place, home).alias("insured_eq_accident_state"),
-    ).orderBy(F.desc_nulls_first("pct_not_billed_record"), F.desc_nulls_first("not_billed_acct_charge"))
+    ).orderBy(*account_order())

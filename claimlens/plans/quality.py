@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimlens.functions import validity as v
 from claimlens.functions.flags import among, not_among, share
 from claimlens.functions.text import blank_to_null, first_text, json_record, phone_digits
-from claimlens.operators.lists import LIST_LIMIT, TextList, group_lists, set_text
+from claimlens.operators.lists import TextList, group_lists, set_text
 from claimlens.plans.aging import recent_customers
 from claimlens.plans.rules import ACTIVE_DAYS
 
@@ -86,7 +86,6 @@ def account_profiles(
     cust_ids=None,
     lists: Sequence[str] = DEMOGRAPHICS,
     strict: bool = True,
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """One row per account: the requested lists, presence of each value, validity flags, payers."""
     address, phone = F.col("patient_addr1"), F.col("patient_phone")
@@ -101,7 +100,6 @@ def account_profiles(
             F.bool_or(v.says_something(address)).alias("any_address"),
             F.bool_or(v.repeats_one_digit(phone)).alias("repeated_phone"),
         ],
-        list_limit,
     )
     payers = (
         t["pre_billing"]
@@ -119,11 +117,11 @@ def account_profiles(
 
 
 def account_quality(
-    t: Mapping[str, DataFrame], cust_ids=None, strict: bool = True, list_limit: int = LIST_LIMIT
+    t: Mapping[str, DataFrame], cust_ids=None, strict: bool = True
 ) -> DataFrame:
     """Accounts with demographics, validity flags and matched payers."""
     return (
-        account_profiles(t, cust_ids, DEMOGRAPHICS, strict, list_limit)
+        account_profiles(t, cust_ids, DEMOGRAPHICS, strict)
         .select(
             *KEYS,
             "info_received",
@@ -141,7 +139,11 @@ def account_quality(
             "eligibility_found",
             "payers_match",
         )
-        .orderBy(F.desc_nulls_first("info_received"), F.asc_nulls_last("facility_or_svc_prvd_state"))
+        .orderBy(
+            F.desc_nulls_first("info_received"),
+            F.asc_nulls_last("facility_or_svc_prvd_state"),
+            *[F.asc_nulls_last(k) for k in KEYS],
+        )
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from claimlens.functions.dates import yyyymmdd
 from claimlens.functions.flags import among, yes_no
 from claimlens.functions.text import pg_concat
-from claimlens.operators.lists import LIST_LIMIT, TextList, group_lists
+from claimlens.operators.lists import TextList, group_lists
 
 KEYS = ["cust_id", "pat_acct"]
 
@@ -21,7 +21,7 @@ def grouped_amount(amount: Column) -> Column:
     return F.when(F.abs(whole) > 999_999, " ###,###").otherwise(F.lpad(F.format_number(whole, 0), 8, " "))
 
 
-def transaction_accounts(t: Mapping[str, DataFrame], cust_ids=None, list_limit: int = LIST_LIMIT) -> DataFrame:
+def transaction_accounts(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     """Posted transactions per account without duplicates."""
     rows = t["transactions"].filter(among(F.col("cust_id"), cust_ids) & ~F.col("duplicate_payment"))
     paid = pg_concat(F.col("insurance_name"), " -- ", F.concat(F.lit("$"), grouped_amount(F.col("trans_amt"))))
@@ -35,11 +35,10 @@ def transaction_accounts(t: Mapping[str, DataFrame], cust_ids=None, list_limit:
             F.min("trans_date").alias("earliest_cust_trans"),
             F.max("trans_date").alias("latest_cust_trans"),
         ],
-        list_limit,
     )
 
 
-def remittance_accounts(remittances: DataFrame, cust_ids=None, list_limit: int = LIST_LIMIT) -> DataFrame:
+def remittance_accounts(remittances: DataFrame, cust_ids=None) -> DataFrame:
     """Remittances per account; amounts are rounded half to even."""
     rows = remittances.filter(among(F.col("cust_id"), cust_ids) & F.col("pat_acct").isNotNull())
     lists = {
@@ -57,7 +56,6 @@ def remittance_accounts(remittances: DataFrame, cust_ids=None, list_limit: int =
             F.bround(F.coalesce(F.sum("remit_paymt"), F.lit(0)), 0).alias("remit_paymt"),
             F.max("paymt_date").alias("latest_paymt_date"),
         ],
-        list_limit,
     )
 
 
@@ -66,17 +64,16 @@ def reconcile_transactions(
     remittances: DataFrame,
     cust_ids=None,
     cust_name: str | None = None,
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """One row per remitted account: was it posted, in full, and after the latest remittance?
 
     ``cust_ids`` restricts both sides; ``cust_name`` is a constant, or NULL.
     """
-    trans = transaction_accounts(t, cust_ids, list_limit).drop("charges")
+    trans = transaction_accounts(t, cust_ids).drop("charges")
     total, remitted = F.col("tot_trans_amt"), F.col("remit_paymt")
     response, posted = F.col("latest_remit_response"), F.col("latest_cust_trans")
     return (
-        remittance_accounts(remittances, cust_ids, list_limit)
+        remittance_accounts(remittances, cust_ids)
         .withColumn("latest_remit_response", yyyymmdd(F.col("latest_paymt_date")))
         .join(trans, KEYS, "left")
         .select(

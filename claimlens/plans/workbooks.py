@@ -35,12 +35,12 @@ def daily_sheets(
     return out
 
 
-# Charts as (x, y, rows of the report, window of the x axis, window of the y axis).
+# Charts as (x, y, window of the x axis, window of the y axis).
 CHARTS = {
-    "aging_of_account_charge": ("placed_days", "not_billed_acct_charge", 100_000, (0, 550), (0, 90_000)),
-    "aging_of_account_charge_inner": ("placed_days", "not_billed_acct_charge", 100_000, (0, 200), (0, 10_000)),
-    "no_fax_charge": ("pct_no_fax_record_not_billed", "no_fax_avg_record_charge", 1_000, (0, 1), (0, 10_000)),
-    "no_fax_charge_inner": ("pct_no_fax_record_not_billed", "no_fax_avg_record_charge", 1_000, (0, 1), (0, 2_000)),
+    "aging_of_account_charge": ("placed_days", "not_billed_acct_charge", (0, 550), (0, 90_000)),
+    "aging_of_account_charge_inner": ("placed_days", "not_billed_acct_charge", (0, 200), (0, 10_000)),
+    "no_fax_charge": ("pct_no_fax_record_not_billed", "no_fax_avg_record_charge", (0, 1), (0, 10_000)),
+    "no_fax_charge_inner": ("pct_no_fax_record_not_billed", "no_fax_avg_record_charge", (0, 1), (0, 2_000)),
 }
 
 
@@ -49,9 +49,9 @@ def report_chart(report: DataFrame, name: str) -> DataFrame:
 
     Rows of equal rank in the report are ordered by their key, so that reruns agree.
     """
-    x, y, rows, xs, ys = CHARTS[name]
+    x, y, xs, ys = CHARTS[name]
     if y == "not_billed_acct_charge":
         order = [F.desc_nulls_first("pct_not_billed_record"), F.desc_nulls_first(y), F.asc_nulls_last("pat_acct")]
     else:
         order = [F.desc_nulls_first(x), F.desc_nulls_first(y), F.asc_nulls_last("insurance_name")]
-    return chart_points(report, x, y, order, rows, xs, ys)
+    return chart_points(report, x, y, order, xs, ys)

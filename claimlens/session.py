@@ -11,7 +11,6 @@ RUNTIME_CONF = {
     # hot accounts and payers: split skewed join partitions at run time
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 

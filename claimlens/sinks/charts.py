@@ -13,16 +13,16 @@ def chart_points(
     x: str,
     y: str,
     order: Sequence[Column],
-    max_rows: int,
-    x_range: tuple[float, float] | None = None,
-    y_range: tuple[float, float] | None = None,
+    x_axis: tuple[float, float] | None = None,
+    y_axis: tuple[float, float] | None = None,
 ) -> DataFrame:
-    """The two columns of the first ``max_rows`` rows in report order, inside the axis windows.
+    """The two columns of the whole report, in its order.
 
-    ``max_rows`` is the chart's own range; ``order`` should be total, so that reruns agree.
+    The axis windows say what a chart shows at first, not what the series holds: they are kept as
+    metadata (``axis``) of the columns and drop no point. ``order`` should be total, so that reruns
+    agree.
     """
-    points = report.orderBy(*order).limit(max_rows).select(x, y)
-    for column, window in ((x, x_range), (y, y_range)):
-        if window is not None:
-            points = points.filter(F.col(column).between(*window))
-    return points
+    axes = [
+        F.col(c).alias(c, metadata={"axis": list(window)} if window else {}) for c, window in ((x, x_axis), (y, y_axis))
+    ]
+    return report.orderBy(*order).select(*axes)

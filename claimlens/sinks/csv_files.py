@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, line_sep: str | None = None, null_value: str | None = None) -> None:
-    """CSV with header; values with commas or quotes are quoted. One file per partition."""
-    writer = df.write.mode("errorifexists").option("header", True)
+    """CSV with header; values with commas or quotes are quoted, quotes inside are doubled. One file per
+    partition."""
+    writer = df.write.mode("errorifexists").option("header", True).option("escape", '"')
     if line_sep is not None:
         writer = writer.option("lineSep", line_sep)
     if null_value is not None:
@@ -23,11 +24,15 @@ def plain_lines(df: DataFrame, sep: str = ",", null_text: str = "None") -> DataF
 
 
 def write_plain(df: DataFrame, path: str, sep: str = ",", null_text: str = "None", line_sep: str = "\n") -> None:
-    """Unquoted text lines. The header goes to a folder of its own, ``<path>_header``, because the
-    rows are written by many tasks."""
-    plain_lines(df, sep, null_text).write.mode("errorifexists").option("lineSep", line_sep).text(path)
-    header = df.sparkSession.createDataFrame([(sep.join(df.columns),)], "value string")
-    header.coalesce(1).write.mode("errorifexists").option("lineSep", line_sep).text(path + "_header")
+    """Unquoted text lines; every file of the folder starts with the header, as with ``write_csv``.
+
+    The lines are written as a one-column CSV whose header is the joined one, without any quoting.
+    """
+    header = sep.join(df.columns)
+    # separator and quote are characters that text does not hold, so lines are written as they are
+    bare = {"sep": "\u0001", "quote": "\u0000", "escape": "\u0000", "emptyValue": ""}
+    lines = plain_lines(df, sep, null_text).select(F.col("value").alias(header))
+    lines.write.mode("errorifexists").options(header=True, lineSep=line_sep, **bare).csv(path)
 
 
 def preview(df: DataFrame, rows: int = 5) -> tuple[DataFrame, int]:

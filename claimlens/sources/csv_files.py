@@ -31,8 +31,8 @@ def underscored(df: DataFrame) -> DataFrame:
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text under its own header (no inference pass)."""
-    return underscored(spark.read.option("header", True).csv(path))
+    """Every column as text under its own header (no inference pass); quotes inside a value are doubled."""
+    return underscored(spark.read.option("header", True).option("escape", '"').csv(path))
 
 
 def clean_payer_list(raw: DataFrame, extra_drops: Iterable[str] = ()) -> DataFrame:

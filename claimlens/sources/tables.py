@@ -51,7 +51,7 @@ class Tables(Mapping):
         """One CSV folder with header per table under ``root``, with the declared types."""
         return cls(
             {
-                name: (lambda n=name, s=schema: spark.read.schema(s).csv(f"{root}/{n}", header=True))
+                name: (lambda n=name, s=schema: spark.read.schema(s).csv(f"{root}/{n}", header=True, escape='"'))
                 for name, schema in schemas.TABLES.items()
             },
             renames,

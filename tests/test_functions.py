@@ -28,8 +28,8 @@ def test_concat_skips_null(spark):
 
 
 def test_initcap_starts_words_after_any_symbol(spark):
-    got = each(spark, ["mary-ann o'neil", "ST. JOHN 2nd", None, ""], pg_initcap)
-    assert got == ["Mary-Ann O'Neil", "St. John 2nd", None, ""]
+    got = each(spark, ["mary-ann o'neil", "ST. JOHN 2nd", "josé maría muñoz-ärzte", None, ""], pg_initcap)
+    assert got == ["Mary-Ann O'Neil", "St. John 2nd", "José María Muñoz-Ärzte", None, ""]
 
 
 def test_clean_date_reads_four_encodings(spark):

@@ -1,7 +1,6 @@
 import random
 from collections import defaultdict
 
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -38,7 +37,7 @@ def hot_rows(n=4000, seed=7):
     return out
 
 
-def brute_lists(data, sep_v, sep_w, limit):
+def brute_lists(data, sep):
     sets, bags, sizes = defaultdict(set), defaultdict(list), defaultdict(int)
     for k, v, w in data:
         sizes[k] += 1
@@ -46,48 +45,31 @@ def brute_lists(data, sep_v, sep_w, limit):
             sets[k].add(v)
         if w is not None:
             bags[k].append(w)
+    cell = lambda items: sep.join(sorted(items)) if items else None
+    return sorted(((k, sizes[k], cell(sets[k]), cell(bags[k])) for k in sizes), key=repr)
 
-    def cell(items, sep):
-        items = sorted(items)
-        if not items:
-            return None
-        return sep.join(items) if len(items) <= limit else f"{items[0]}{sep}... ({len(items)} items)"
 
-    return sorted(((k, sizes[k], cell(sets[k], sep_v), cell(bags[k], sep_w)) for k in sizes), key=repr)
+def two_lists(sep):
+    return {"vs": TextList(F.col("v"), sep), "ws": TextList(F.col("w"), sep, distinct=False)}
 
 
-@pytest.mark.parametrize("limit", [100_000, 500, 100, 20])
-def test_group_lists_equals_brute_force(spark, limit):
+def test_group_lists_equals_brute_force(spark):
     data = hot_rows()
     df = spark.createDataFrame(data, "k string, v string, w string").repartition(8)
-    lists = {"vs": TextList(F.col("v"), "; "), "ws": TextList(F.col("w"), "; ", distinct=False)}
-    got = rows(group_lists(df, ["k"], lists, [F.count("*").alias("n")], limit))
-    want = brute_lists(data, "; ", "; ", limit)
-    sizes = defaultdict(int)
-    for k, _, _ in data:
-        sizes[k] += 1
-    # a group within the limit of rows is whole in any case
-    whole = brute_lists(data, "; ", "; ", 10**9)
-    want = sorted((w if sizes[w[0]] > limit else x for w, x in zip(want, whole)), key=repr)
-    assert got == want
-
+    assert rows(group_lists(df, ["k"], two_lists("; "), [F.count("*").alias("n")])) == brute_lists(data, "; ")
 
-def test_large_groups_do_not_need_the_broadcast(spark, monkeypatch):
-    from claimlens.operators import lists as module
 
-    monkeypatch.setattr(module, "BROADCAST_KEYS", 1)
-    data = hot_rows(1500)
-    df = spark.createDataFrame(data, "k string, v string, w string")
-    got = rows(group_lists(df, ["k"], {"vs": TextList(F.col("v"), ",")}, limit=10))
-    base = {r[0]: r[1] for r in rows(text_lists(df, ["k"], {"vs": TextList(F.col("v"), ",")}, limit=10))}
-    assert {k: v for k, v in got if v and "items)" in v} == {k: v for k, v in base.items() if "items)" in v}
+def test_text_lists_hold_every_item_of_a_hot_key(spark):
+    data = hot_rows()
+    df = spark.createDataFrame(data, "k string, v string, w string").repartition(8)
+    want = [(k, v, w) for k, _, v, w in brute_lists(data, ";") if v or w]
+    assert rows(text_lists(df, ["k"], two_lists(";"))) == want
 
 
-def test_items_are_whole_whatever_the_limit(spark):
+def test_items_are_whole(spark):
     data = hot_rows()
     df = spark.createDataFrame(data, "k string, v string, w string")
-    lists = {"vs": TextList(F.col("v"), ";"), "ws": TextList(F.col("w"), ";", distinct=False)}
-    items = list_items(df, ["k"], lists)
+    items = list_items(df, ["k"], two_lists(";"))
     want = defaultdict(int)
     for k, v, w in data:
         if v is not None:
@@ -101,7 +83,6 @@ def test_copies_weigh_in_bags(spark):
     df = spark.createDataFrame([("a", "x", 3), ("a", "y", 1), ("a", "x", 1)], "k string, v string, n int")
     spec = {"t": TextList(F.col("v"), "-", distinct=False, times=F.col("n"))}
     assert rows(text_lists(df, ["k"], spec)) == [("a", "x-x-x-x-y")]
-    assert rows(text_lists(df, ["k"], spec, limit=4)) == [("a", "x-... (5 items)")]
 
 
 def test_full_join_first_source_wins(spark):

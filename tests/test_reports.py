@@ -139,10 +139,10 @@ def test_payer_opportunity_no_fax(make):
     assert (one["pct_no_fax_record_not_billed"], one["no_fax_avg_record_charge"], one["pat_acct"]) == (0.5, 300.0, "a1")
 
 
-def test_long_lists_are_whole_in_the_items(make):
+def test_lists_are_whole_in_the_report_and_the_items(make):
     t = claims(make)
-    short = {r["insurance_name"]: r["pat_acct"] for r in dicts(payer_opportunity(t, "not_billed", list_limit=1))}
-    assert short == {"P1": "a1;  ... (2 items)", "P3": "a4", "P4": "a5", None: "a3"}
+    cells = {r["insurance_name"]: r["pat_acct"] for r in dicts(payer_opportunity(t, "not_billed"))}
+    assert cells == {"P1": "a1;  a2", "P3": "a4", "P4": "a5", None: "a3"}
     items = {(r["insurance_name"], r["item"]) for r in dicts(payer_opportunity_items(t, "not_billed")) if r["list_name"] == "pat_acct"}
     assert items == {("P1", "a1"), ("P1", "a2"), ("P3", "a4"), ("P4", "a5"), (None, "a3")}
 
@@ -173,8 +173,9 @@ def test_account_opportunity(make):
 def test_daily_sheets_and_chart(make):
     t = claims(make)
     assert len(daily_sheets(t, "all", AS_OF)) == 6 and len(daily_sheets(t, "no_fax", AS_OF)) == 3
-    points = rows(report_chart(account_opportunity(t, "not_billed", AS_OF, True), "aging_of_account_charge"))
-    assert points == [(31, 300.0)]
+    report = account_opportunity(t, "not_billed", AS_OF, True)
+    points = rows(report_chart(report, "aging_of_account_charge"))
+    assert (31, 300.0) in points and len(points) == report.count()
 
 
 def test_account_traits(make):
@@ -419,7 +420,3 @@ def test_quality(make):
     assert (seven["pct_valid_addr1"], seven["pct_valid_phone"], seven["pct_valid_ssn"], seven["master_id"]) == (0.5, 0.5, 0.5, 70)
     assert (eight["hit_rate"], eight["cnt_accts_eligibility_found"], eight["cnt_accts"]) == (None, None, 1)
     assert [r["cust_id"] for r in dicts(data_quality(t, [7]))] == [7]
-    # the flags do not depend on how the lists are made
-    tiny = {r["pat_acct"]: r for r in dicts(account_quality(t, list_limit=1))}
-    assert {k: (r["flag_valid_addr1"], r["flag_valid_phone"], r["flag_valid_ssn"], r["eligibility_found"]) for k, r in tiny.items()} == flags
-    assert tiny["good"]["patient_firstname"] == "A; ... (2 items)"

@@ -8,7 +8,7 @@ from claimlens.sinks.charts import chart_points
 from claimlens.sinks.csv_files import preview, write_csv, write_plain
 from claimlens.sinks.snapshots import SnapshotTable
 from claimlens.sources.alert_text import good_lines, read_alerts, read_keys, rejected_lines
-from claimlens.sources.csv_files import read_payer_list, read_remittances
+from claimlens.sources.csv_files import read_csv_text, read_payer_list, read_remittances
 from claimlens.sources.tables import sql_frame
 
 TEXT = """Team North
@@ -89,6 +89,12 @@ def test_payer_list_and_capability(spark, tmp_path):
     assert rows(unmatched_payers(traits, payers)) == [("E1;  E2", 1)]
 
 
+def test_doubled_quotes_in_csv(spark, tmp_path):
+    path = tmp_path / "payers.csv"
+    path.write_text('Payer ID,Payer Name,TX\nE1,"Acme ""Best"", Inc",yes\n')
+    assert rows(read_csv_text(spark, str(path))) == [("E1", 'Acme "Best", Inc', "yes")]
+
+
 def test_remittance_csv(spark, tmp_path):
     path = tmp_path / "remit.csv"
     path.write_text(
@@ -126,10 +132,11 @@ def read_bytes(folder):
 def test_csv_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a,b", None), ('"007"', 2)], "x string, y int").coalesce(1)
     write_csv(df, str(tmp_path / "quoted"), line_sep="\r\n", null_value="None")
-    assert read_bytes(tmp_path / "quoted") == b'x,y\r\n"a,b",None\r\n"\\"007\\"",2\r\n'
+    assert read_bytes(tmp_path / "quoted") == b'x,y\r\n"a,b",None\r\n"""007""",2\r\n'
     write_plain(df, str(tmp_path / "plain"), line_sep="\r\n")
-    assert read_bytes(tmp_path / "plain") == b'a,b,None\r\n"007",2\r\n'
-    assert read_bytes(tmp_path / "plain_header") == b"x,y\r\n"
+    assert read_bytes(tmp_path / "plain") == b'x,y\r\na,b,None\r\n"007",2\r\n'
+    back = read_csv_text(spark, str(tmp_path / "quoted"))
+    assert rows(back) == [('"007"', "2"), ("a,b", "None")]
     head, n = preview(df, 1)
     assert n == 2 and head.count() == 1
 
@@ -144,8 +151,9 @@ def test_bundle_keeps_kinds(spark, tmp_path):
 
 def test_chart_points(spark):
     df = spark.createDataFrame([(i, i * 10) for i in range(100)], "x int, y int")
-    got = chart_points(df, "x", "y", [F.desc("x")], 10, (0, 95), (920, 10_000))
-    assert rows(got) == [(92, 920), (93, 930), (94, 940), (95, 950)]
+    got = chart_points(df, "x", "y", [F.desc("x")], (0, 95), None)
+    assert [tuple(r) for r in got.collect()] == [(i, i * 10) for i in range(99, -1, -1)]
+    assert [f.metadata for f in got.schema.fields] == [{"axis": [0, 95]}, {}]
 
 
 def test_snapshots(spark, tmp_path):
