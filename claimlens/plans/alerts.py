@@ -92,23 +92,37 @@ def _with_lines(state: DataFrame, lines: DataFrame, as_of: dt.datetime) -> DataF
     return old.unionByName(added)
 
 
-def _fill_from_billing(rows: DataFrame, lines: DataFrame, t: Mapping[str, DataFrame], today: dt.date) -> DataFrame:
-    """Claim columns of today's unset alerts from the record's latest bill; they become unprocessed."""
-    bills = latest_row_values(_only_keys(t["billing"], lines), ["pm_sk"], "created_at", BILLING_FIELDS)
-    bills = bills.withColumnsRenamed({c: "b_" + c for c in BILLING_FIELDS})
+def _latest_bills(keys: DataFrame, t: Mapping[str, DataFrame]) -> DataFrame:
+    """Per record of ``keys`` its latest bill: claim columns as ``b_*`` and the day, from one grouping of
+    the billing table."""
+    bills = latest_row_values(
+        _only_keys(t["billing"], keys).withColumn("bill_at", F.col("created_at")), ["pm_sk"], "created_at", [*BILLING_FIELDS, "bill_at"]
+    )
+    return bills.select(
+        F.col("pm_sk").alias("b_pm_sk"),
+        F.to_date("bill_at").alias("bill_date"),
+        *[F.col(c).alias("b_" + c) for c in BILLING_FIELDS],
+    )
+
+
+def _fill_from_billing(rows: DataFrame, bills: DataFrame, today: dt.date) -> DataFrame:
+    """Claim columns of today's unset alerts from the record's latest bill; they become unprocessed.
+    ``bill_date`` stays with every row for the refresh."""
+    joined = rows.join(bills, F.col("pm_sk") == F.col("b_pm_sk"), "left")
     unset = on_day(F.col("created_at"), today) & F.col("processed").isNull() & F.col("line_day").isNotNull()
-    return update_from(
-        rows,
-        bills,
-        "pm_sk",
-        unset,
-        {
-            **{c: F.col("b_" + c) for c in BILLING_FIELDS},
-            "effective_date": F.col("line_day"),
-            "assigned": F.col("line_assigned"),
-            "processed": F.lit(False),
-        },
+    joined = joined.withColumn("filled", F.coalesce(F.col("b_pm_sk").isNotNull() & unset, F.lit(False)))
+    values = {c: F.col("b_" + c) for c in BILLING_FIELDS} | {
+        "effective_date": F.col("line_day"),
+        "assigned": F.col("line_assigned"),
+        "processed": F.lit(False),
+    }
+    return joined.select(
+        *[
+            F.when(F.col("filled"), values[c].cast(rows.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+            for c in rows.columns
+        ],
         "filled",
+        "bill_date",
     )
 
 
@@ -130,15 +144,21 @@ def _fill_from_pre_billing(rows: DataFrame, keys: DataFrame, t: Mapping[str, Dat
     )
 
 
-def refresh_billed(
-    state: DataFrame, t: Mapping[str, DataFrame], flag: str = "refreshed", keys: DataFrame | None = None
-) -> DataFrame:
-    """Unprocessed alerts whose record was billed on or after the alert's day become processed on
-    the day of its latest bill. ``flag`` marks the changed rows.
+def _refresh(rows: DataFrame) -> DataFrame:
+    """The refresh for rows that carry the day of their record's latest bill."""
+    hit = F.coalesce(~F.col("processed") & (F.col("effective_date") <= F.col("bill_date")), F.lit(False))
+    return rows.withColumn("refreshed", hit).withColumns(
+        {
+            "processed": F.col("processed") | F.col("refreshed"),
+            "processed_at": F.when(F.col("refreshed"), F.col("bill_date")).otherwise(F.col("processed_at")),
+        }
+    )
 
-    Bills are read for ``keys``, which must hold the ``pm_sk`` of every unprocessed alert.
-    """
-    waiting = state.filter(~F.col("processed")) if keys is None else keys
+
+def refresh_billed(state: DataFrame, t: Mapping[str, DataFrame], flag: str = "refreshed") -> DataFrame:
+    """Unprocessed alerts whose record was billed on or after the alert's day become processed on
+    the day of its latest bill. ``flag`` marks the changed rows."""
+    waiting = state.filter(~F.col("processed"))
     bills = (
         _only_keys(t["billing"], waiting).groupBy("pm_sk").agg(F.to_date(F.max("created_at")).alias("bill_date"))
     )
@@ -164,13 +184,13 @@ def ingest_alerts(
     state = alert_state(state)
     lines = good_lines(parsed)
     today = as_of.date()
-    rows = _fill_from_billing(_with_lines(state, lines, as_of), lines, t, today)
     # records of alerts that may change, taken from the inputs and not from the steps between
     unset = F.col("processed").isNull() & on_day(F.col("created_at"), today)
     added = lines.select("pm_sk")
     of_today = state.filter(on_day(F.col("created_at"), today)).select("pm_sk").union(added)
     waiting = state.filter(~F.col("processed") | unset).select("pm_sk").union(added)
-    rows = refresh_billed(_fill_from_pre_billing(rows, of_today, t, today), t, keys=waiting)
+    rows = _fill_from_billing(_with_lines(state, lines, as_of), _latest_bills(waiting, t), today)
+    rows = _refresh(_fill_from_pre_billing(rows, of_today, t, today))
     metrics = _metrics(
         rows,
         {
