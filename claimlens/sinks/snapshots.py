@@ -1,55 +1,66 @@
-"""Versioned snapshots of a state table on any Hadoop file system."""
+"""Versioned snapshots of a state table on any file system that Spark writes to."""
 
 from __future__ import annotations
 
-import re
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+LOG = "version long, folder string"
+
 
 class SnapshotTable:
-    """Each version is a parquet folder; the current one is the newest complete one.
+    """Each version is a parquet folder; a log with one row per version says which one counts.
 
-    A version counts once its ``_SUCCESS`` marker is there, so a run that dies while writing leaves
-    the old version in force, and a frame read from one version may be used to write the next.
+    The row is appended last, so a run that dies before leaves the old version in force, and a
+    frame read from one version may be used to write the next. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType) -> None:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
-    def _path(self, version: int) -> str:
-        return f"{self.root}/version={version:08d}"
-
-    def _versions(self) -> list[tuple[int, bool]]:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        found = []
-        for status in fs.listStatus(root):
-            match = re.fullmatch(r"version=(\d+)", status.getPath().getName())
-            if match:
-                done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-                found.append((int(match.group(1)), done))
-        return sorted(found)
+    def _folder(self, version: int | None) -> tuple[int, str | None]:
+        """The version asked for, or the last one, and its folder."""
+        try:
+            log = self.spark.read.schema(LOG).parquet(f"{self.root}/log")
+        except AnalysisException:  # nothing was published
+            return 0, None
+        if version is not None:
+            log = log.filter(F.col("version") == version)
+        last = log.orderBy(F.desc("version")).first()
+        return (last.version, last.folder) if last else (0, None)
 
     def version(self) -> int:
         """Current version, 0 when nothing was published."""
-        return max((v for v, done in self._versions() if done), default=0)
+        return self._folder(None)[0]
 
     def read(self, version: int | None = None) -> DataFrame:
-        version = self.version() if version is None else version
-        if version == 0:
+        _, folder = self._folder(version)
+        if folder is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._path(version))
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{folder}")
+
+    def stage(self, df: DataFrame) -> str:
+        """Writes a snapshot that does not count yet and gives its folder."""
+        folder = f"data/{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.root}/{folder}")
+        return folder
+
+    def staged(self, folder: str, schema: T.StructType | None = None) -> DataFrame:
+        return self.spark.read.schema(schema or self.schema).parquet(f"{self.root}/{folder}")
+
+    def commit(self, folder: str) -> int:
+        """Makes a staged snapshot the current version and gives its number."""
+        number = self.version() + 1
+        self.spark.createDataFrame([(number, folder)], LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        return number
 
     def publish(self, df: DataFrame) -> int:
         """Writes the next version and gives its number."""
-        number = max((v for v, _ in self._versions()), default=0) + 1
-        df.write.mode("errorifexists").parquet(self._path(number))
-        return number
+        return self.commit(self.stage(df))
 
     def backup(self, path: str) -> None:
         """Copies the current version over a backup folder."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from claimlens.plans.alerts import ingest_alerts
+from claimlens.plans.alerts import AlertRun, ingest_alerts
 from claimlens.sinks.snapshots import SnapshotTable
 from claimlens.sources.alert_text import parse_alert_lines
 
@@ -25,12 +25,20 @@ def watch_alerts(
     t: Mapping[str, DataFrame],
     checkpoint: str,
     now: Callable[[], dt.datetime],
+    also: Callable[[AlertRun, int], None] | None = None,
 ) -> StreamingQuery:
-    """Ingests the files that are new in ``folder`` and stops (``availableNow``)."""
+    """Ingests the files that are new in ``folder`` and stops (``availableNow``).
 
-    def ingest(batch: DataFrame, _batch_id: int) -> None:
+    ``also`` gets each batch's run (metrics, rejected lines) and number before its state is
+    published, to keep what it needs.
+    """
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("pos", F.monotonically_increasing_id()).select("file", "block", "pos", "line")
-        table.publish(ingest_alerts(table.read(), parse_alert_lines(lines), t, now()).state)
+        run = ingest_alerts(table.read(), parse_alert_lines(lines), t, now())
+        if also is not None:
+            also(run, batch_id)
+        table.publish(run.state)
 
     lines = spark.readStream.text(folder).select(
         F.col("_metadata.file_path").alias("file"),

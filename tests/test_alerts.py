@@ -5,6 +5,7 @@ from conftest import day, dicts, frame, rows
 from pyspark.sql import functions as F
 
 from claimlens import schemas
+from claimlens.plans import daily
 from claimlens.plans.alerts import export_alerts, ingest_alerts, open_alerts, refresh_billed, resolve_alerts
 from claimlens.sinks.snapshots import SnapshotTable
 from claimlens.sources.alert_text import read_alerts
@@ -162,3 +163,28 @@ def test_file_stream_runs_each_file_once(spark, tmp_path, t):
     watch()
     assert (table.version(), table.read().count()) == (2, 5)
     assert table.read().filter(F.col("assigned") == "Team West").count() == 1
+
+
+def test_daily_runs_are_all_or_nothing(spark, tmp_path, t, monkeypatch):
+    table = SnapshotTable(spark, str(tmp_path / "state"), schemas.ALERTS)
+    parsed = lines(spark, tmp_path, TEXT)
+    first = daily.run_daily(table, parsed, t, NOW, "team", str(tmp_path / "day1"))
+    assert (first.version, metrics(first)["inserted"], first.rejects.count()) == (1, 4, 1)
+    text = b"".join(p.read_bytes() for p in sorted((tmp_path / "day1" / "open_alerts").glob("part-*"))).decode()
+    assert text.startswith("effective_date,") and '"A002"' in text
+    assert spark.read.parquet(str(tmp_path / "day1" / "export")).count() == 1
+
+    def broken(*_, **__):
+        raise OSError("disk full")
+
+    more = lines(spark, tmp_path, "Team West\n 1000003, 3, A003 - P1 > more\n", "alerts_20240116.txt")
+    monkeypatch.setattr(daily, "write_plain", broken)
+    with pytest.raises(OSError):
+        daily.run_daily(table, more, t, NOW, "team", str(tmp_path / "day2"))
+    assert (table.version(), table.read().count()) == (1, 4)
+    monkeypatch.undo()
+    assert daily.run_daily(table, more, t, NOW, "team", str(tmp_path / "day3")).version == 2
+    keys = spark.createDataFrame([(1000002,)], "pm_sk int")
+    done = daily.run_resolve(table, keys, t, NOW.date(), "team", str(tmp_path / "day4"))
+    assert (done.version, metrics(done)["resolved"], table.read().count()) == (3, 1, 5)
+    assert rows(spark.read.parquet(str(tmp_path / "day3" / "backup"))) == rows(table.read(1))

@@ -163,9 +163,10 @@ def test_snapshots(spark, tmp_path):
     assert table.publish(one) == 1
     assert table.publish(table.read().unionByName(one)) == 2
     assert (table.version(), table.read().count(), table.read(1).count()) == (2, 2, 1)
-    # a version without its marker does not count, and its number is not used again
-    (tmp_path / "state" / "version=00000003").mkdir()
-    assert table.version() == 2
-    assert table.publish(one) == 4
+    # a staged snapshot does not count before it is committed
+    folder = table.stage(one)
+    assert (table.version(), table.staged(folder).count(), table.read().count()) == (2, 1, 2)
+    assert table.commit(folder) == 3 and table.read().count() == 1
+    assert table.publish(table.read(2)) == 4
     table.backup(str(tmp_path / "backup"))
     assert rows(spark.read.parquet(str(tmp_path / "backup"))) == rows(table.read())
