@@ -70,6 +70,41 @@ def likeness(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
+def fingerprints(documents: DataFrame) -> DataFrame:
+    """doc_id and signature set of each document with an id."""
+    text = F.coalesce("text", F.lit(""))
+    return documents.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), signatures(text).alias("sig"))
+
+
+def near_pairs(prints: DataFrame, threshold: float) -> DataFrame:
+    """a, b, likeness of the different fingerprints over the threshold; each stands for its least doc_id.
+
+    A set of n spots meets lengths from n up to n / threshold, which lie in its own length partition or the
+    next. Two sets over the threshold share one of their first n - ceil(threshold * n) + 1 spots in any common
+    order; the order is by frequency, so they meet at rare spots only.
+    """
+    same = prints.groupBy(F.sort_array("sig").alias("sig")).agg(F.min("doc_id").alias("id"))
+    sets = written(same.withColumn("n", F.size("sig")), "spots")
+    spots = sets.select("id", "n", F.explode("sig").alias("spot"))
+    ranked = spots.join(spots.groupBy("spot").agg(F.count("*").alias("times")), "spot")
+    rarest = F.sort_array(F.collect_list(F.struct("times", "spot")))
+    prefix = F.slice("spots", F.lit(1), F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1)
+    ranked = ranked.groupBy("id", "n").agg(rarest.alias("spots")).select("id", "n", F.explode(prefix).alias("s"))
+    ranked = ranked.select("id", "n", F.col("s.spot").alias("spot"))
+    ranked = ranked.withColumn("lengths", F.floor(F.log("n") / -F.log(F.lit(threshold)) + 1e-9))
+    longer = ranked.select(F.col("id").alias("b"), F.col("n").alias("n_b"), "spot", "lengths")
+    shorter = ranked.select(F.col("id").alias("a"), F.col("n").alias("n_a"), "spot", "lengths")
+    shorter = shorter.withColumn("lengths", F.explode(F.array("lengths", F.col("lengths") + 1)))
+    fits = (F.col("n_a") >= F.col("n_b") * threshold - 1e-9) & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))))
+    met = shorter.join(longer, ["lengths", "spot"]).filter(fits).select("a", "b").distinct()
+    known = sets.select("id", "sig")
+    pairs = met.join(known.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(
+        known.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b"
+    )
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), likeness(F.col("sig_a"), F.col("sig_b")).alias("likeness"))
+    return pairs.filter(F.col("likeness") >= threshold)
+
+
 def following(rows: DataFrame, keys: list[str]) -> DataFrame:
     """For each distinct key in descending order the key of the next row, cyclic: ``keys`` and ``next_<key>``.
 
@@ -106,10 +141,11 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     )
     own = base.drop("n").withColumn("sig", signatures(F.col("text")))
     # texts are dealt out once, by key; each sends its head and signatures to the document before it
-    copy = F.row_number().over(Window.partitionBy("key", "digest").orderBy("doc_id"))
+    # (a row number instead of the lag would be filtered before the exchange, which then could not be shared)
+    again = F.lag(F.lit(1)).over(Window.partitionBy("key", "digest").orderBy("doc_id"))
     heads = (
-        own.withColumn("copy", copy)
-        .filter("copy = 1")
+        own.withColumn("again", again)
+        .filter("again is null")
         .join(links, ["key", "digest"])
         .select(
             F.col("to_key").alias("key"),
