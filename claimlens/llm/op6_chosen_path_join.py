@@ -159,8 +159,11 @@ def buckets(sketched: DataFrame, runs: int) -> DataFrame:
         *(
             F.struct(
                 F.xxhash64(F.lit(r), token(first)).alias("path"),
-                F.array(*map(token, second)).alias("second"),
-                F.array(*map(token, third)).alias("third"),
+                *(
+                    (token(split[i]) if i < len(split) else F.lit(None).cast("int")).alias(f"{level}{i}")
+                    for level, split in (("second", second), ("third", third))
+                    for i in range(2)
+                ),
             )
             for r, (first, second, third) in enumerate(steps)
         )
@@ -171,8 +174,10 @@ def buckets(sketched: DataFrame, runs: int) -> DataFrame:
     small, large = _split(walks)
     leaves = [small.select("path", "c")]
     for level in ("second", "third"):
-        deeper = large.select("c", "path", "second", "third", F.posexplode(level).alias("i", "value"))
-        deeper = deeper.select("c", F.xxhash64("path", "i", "value").alias("path"), "second", "third")
+        tokens = F.array(f"{level}0", f"{level}1")
+        deeper = large.select("c", "path", "third0", "third1", F.posexplode(tokens).alias("i", "value"))
+        deeper = deeper.filter("value is not null")
+        deeper = deeper.select("c", F.xxhash64("path", "i", "value").alias("path"), "third0", "third1")
         small, large = _split(written(deeper, "walks"))
         leaves.append(small.select("path", "c"))
     few = leaves[0].unionByName(leaves[1]).unionByName(leaves[2])
@@ -260,15 +265,14 @@ def bucket_links(leaf: int, cross: bool, rows: list[tuple], similarity: float) -
 def links(sketched: DataFrame, met: DataFrame, sizes: DataFrame, similarity: float) -> DataFrame:
     """Links of the classes found in all buckets."""
     known = met.groupBy("c").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
-    sets = sketched.select("c", "doc_id", "grams").join(
-        sizes.select("c", F.col("first_id").alias("doc_id"), F.col("size").alias("docs")), ["c", "doc_id"]
-    )
-    # a doc_id may come with a text more than once
-    sets = sets.withColumn("docs", F.col("docs")).dropDuplicates(["c"]).join(known, "c").select("c", "docs", "leaves", "grams")
+    known = known.join(sizes.select("c", "first_id", F.col("size").alias("docs")), "c")
+    # sets are dealt out once by class and once by bucket; a repeated row of a first copy is left out there
+    sets = sketched.select("c", "doc_id", "grams").join(known, "c").filter("doc_id = first_id")
+    sets = sets.select("c", "docs", "leaves", "grams")
     keyed = met.join(sets, "c").repartition("leaf", "lo", "hi").sortWithinPartitions("leaf", "lo", "hi")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
+        key, rows, seen = None, [], set()
 
         def done():
             return bucket_links(key[0], key[1] != key[2], rows, similarity) if len(rows) > 1 else []
@@ -279,7 +283,10 @@ def links(sketched: DataFrame, met: DataFrame, sizes: DataFrame, similarity: flo
             for leaf, lo, hi, block, c, docs, leaves, grams in zip(*columns, strict=True):
                 if (leaf, lo, hi) != key:
                     out += done()
-                    key, rows = (leaf, lo, hi), []
+                    key, rows, seen = (leaf, lo, hi), [], set()
+                if (c, block) in seen:
+                    continue
+                seen.add((c, block))
                 rows.append((c, block, docs, np.frombuffer(grams, np.uint32), leaves))
             yield _link_batch(out)
         if rows:
