@@ -152,16 +152,15 @@ def disclosing_terms(documents: DataFrame, near: DataFrame) -> DataFrame:
         F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{M}]+"))).alias("term")
     )
     n_term = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    total = documents.agg(F.count("*").alias("n"))  # one row
+    total = documents.count()
     return (
         joint.join(entities, "entity")
         .join(n_term, "term")
-        .join(F.broadcast(total), F.lit(True))
         .withColumn(
             "disclosure",
-            F.log(F.col("n") * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(F.col("n") / F.col("n_entity")),
+            F.log(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(total / F.col("n_entity")),
         )
-        .filter((F.col("n") > F.col("n_entity")) & (F.col("disclosure") >= GENERALISE))
+        .filter((F.col("n_entity") < total) & (F.col("disclosure") >= GENERALISE))
         .select("entity", "term", "disclosure")
     )
 
@@ -247,14 +246,23 @@ def sanitised(documents: DataFrame) -> DataFrame:
     Documents without base spans pass in one narrow step; only the others are written and joined.
     """
     columns = documents.columns
-    known = F.coalesce("text", F.lit(""))
-    marked = documents.withColumn("base", base_spans(known))
-    plain = marked.filter(F.size("base") == 0).select(*columns)
+    # the row travels as one value, so that its columns may have any names
+    packed = documents.select(
+        F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+    marked = packed.withColumn("base", base_spans(F.col("text")))
+    plain = marked.filter(F.size("base") == 0).select("row.*")
     found = written(marked.filter(F.size("base") > 0), "pii")
-    revealing = _with_all_spans(documents, found).withColumn("text", _clean_text(F.col("text"), F.col("spans")))
-    if "n_chars" in columns:
-        revealing = revealing.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return plain.unionByName(revealing.select(*columns))
+    revealing = _with_all_spans(packed.select("doc_id", "text"), found)
+    revealing = revealing.withColumn("clean", _clean_text(F.col("text"), F.col("spans")))
+    new = {"text": F.col("clean"), "n_chars": F.length("clean")}
+    return plain.unionByName(
+        revealing.select(
+            *(new[c].cast(documents.schema[c].dataType).alias(c) if c in new else F.col(f"row.`{c}`") for c in columns)
+        )
+    )
 
 
 def query(spark, sf_dir):

@@ -6,7 +6,8 @@ on paragraphs of a bounded sample of documents as ordinary text. Probabilities a
 fitted on examples kept from training. A paragraph that is probably a licence but whose best family stays under
 ``FAMILY_PROBABILITY`` is of the unknown class. A predicted family counts as confirmed if the paragraph holds
 enough of the three-word sequences of one of its templates, otherwise it becomes unknown too. A paragraph that shares
-none with any template is no licence, whatever its probability.
+none with any template, or neither is near its family's template nor says one of ``LICENCE_WORDS``, is no licence,
+whatever its probability.
 
 Words that no template has are no features. The weakest features together cannot lift any family over ordinary text
 (their weights are bounded by Cauchy-Schwarz against the intercepts); a paragraph without one of the words of the
@@ -80,6 +81,8 @@ TEMPLATES = {
         "No part of this publication may be reproduced, distributed or transmitted in any form without the prior written permission of the publisher.",
     ),
 }
+#: fixed values: a paragraph without one of these words is of no unknown licence
+LICENCE_WORDS = frozenset(("copyright", "licence", "licenced", "license", "licensed", "permission", "permitted", "redistribution", "rights"))
 FRAMES = ("{}", "Note: {}", "{} See the file for details.", "This document is offered as follows. {}", "(c) The authors. {}")
 
 SCHEMA = "doc_id long, paragraph int, start int, end int, family string, probability double, similarity double"
@@ -127,6 +130,8 @@ class Model:
         best = int(np.argmax(p[1:]))
         family = self.families[best]
         similarity = max(len(own & t) / len(t) for t in self.templates[family])
+        if similarity < SIMILARITY and LICENCE_WORDS.isdisjoint(words):
+            return None
         sure = float(p[best + 1]) >= FAMILY_PROBABILITY and similarity >= SIMILARITY
         return family if sure else "unknown", licence, similarity
 

@@ -50,7 +50,7 @@ def awkward(spark):
         (5, long_text, "de", "a", 1),
         (6, long_text, "de", "a", 1),
         (7, "   \n \t ", "fr", "a", 7),
-        (8, "é😀 ß\u0301 a.b@c.de +1 (386) 555-3733 10.0.0.1 4111 1111 1111 1111", "fr", "a", 7),
+        (8, "é😀 ß\u0301 a.b@c.de, +1 (386) 555-3733, 10.0.0.1, 4111 1111 1111 1111", "fr", "a", 7),
         (None, "a row without an id is still the text of someone", "en", "a", 7),
         (9, "x" * 60_000, "en", "a", 7),
     ]
