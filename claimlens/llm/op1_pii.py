@@ -2,7 +2,7 @@
 
 Base spans are emails, ip addresses, cards and phones by pattern and check. Each value found is a protected
 entity. Words within ``WINDOW`` code points of it are candidate terms, and the corpus tells how strongly a term
-reveals an entity: with co-occurrences counted over different contexts and terms over all documents,
+reveals an entity: with co-occurrences counted over different contexts and terms over different texts,
 
     disclosure = ln(N * n(term, entity) / (n(term) * n(entity))) / ln(N / n(entity)),
 
@@ -147,12 +147,12 @@ def disclosing_terms(documents: DataFrame, near: DataFrame) -> DataFrame:
     contexts = near.select("entity", "context", "term").distinct()
     joint = contexts.groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= SUPPORT)
     entities = contexts.groupBy("entity").agg(F.countDistinct("context").alias("n_entity"))
-    # each document counts once for each of its words; summed per task before the shuffle
-    words = documents.select(
-        F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{M}]+"))).alias("term")
-    )
-    n_term = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    total = documents.count()
+    # each different text counts once for each of its words; summed per task before the shuffle
+    text = F.coalesce("text", F.lit(""))
+    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{M}]+"))
+    different = documents.select(F.xxhash64(text).alias("th"), words.alias("words")).dropDuplicates(["th"])
+    n_term = different.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    total = documents.select(F.xxhash64(text)).distinct().count()
     return (
         joint.join(entities, "entity")
         .join(n_term, "term")

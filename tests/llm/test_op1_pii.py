@@ -83,3 +83,13 @@ def test_empty_table(documents):
 def test_plan_has_no_python(documents):
     plan = op.personal_data(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InPandas" not in plan and "Arrow" not in plan
+
+
+def test_copies_do_not_dilute_terms(spark):
+    """A text copied 300 times counts once for its terms, as it does for its contexts."""
+    rows = [(i, f"note {i} zebrafish project of team{i} mail boss@corp.example.org today") for i in range(6)]
+    rows += [(100 + i, f"mail someone about the project of team today note {i}") for i in range(60)]
+    rows += [(1000 + i, rows[0][1]) for i in range(300)]
+    got = {r.doc_id: r for r in op.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("remove:" in got[i].spans and got[i].n_terms == 1 for i in got if i < 6 or i >= 1000)
+    assert not any(got[i].n_terms for i in got if 100 <= i < 1000)
