@@ -1,15 +1,20 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of the terms around them.
 
 Base spans are emails, ip addresses, cards and phones by pattern and check. Each value found is a protected
-entity. Words within ``WINDOW`` code points of it are candidate terms, and the corpus tells how strongly a term
-reveals an entity: with co-occurrences counted over different contexts and terms over different texts,
+entity. The words of a text outside its base spans are candidate terms of the entities in it, and the corpus tells
+how strongly a term reveals an entity: with N different texts, and those that hold the term, the entity and both,
 
     disclosure = ln(N * n(term, entity) / (n(term) * n(entity))) / ln(N / n(entity)),
 
 the share of the entity's information content that the term carries. Terms with a disclosure of at least
 ``GENERALISE`` are generalised (replaced by a placeholder), from ``REMOVE`` on they are taken out, everywhere in
-the documents that hold the entity. A term needs ``SUPPORT`` different contexts with the entity, so that copies
-of one text prove nothing.
+the documents that hold the entity.
+
+A term must also be beside the entity more often than chance explains. The ``WINDOW`` code points on both sides of
+the entity's first place in a text are its context there, and copies and near copies with equal contexts count once.
+Of n contexts k are in texts with the term; by Hoeffding's bound chance gives as many with a probability of at most
+exp(-n * KL(k / n, n(term) / N)), and this times the number of pairs tested must not exceed ``CHANCE``. An entity
+with one context is not tested: the words of one text depend on each other, so it proves nothing.
 
 Everything runs on built-in functions. The patterns are written so that a match is searched once per run of
 characters, without changing what the plain ones find.
@@ -22,13 +27,15 @@ repeated results; a null doc_id gets its base spans but no term spans; other col
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import table, written
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, SUPPORT, GENERALISE, REMOVE = 100, 5, 0.8, 0.95
+WINDOW, CHANCE, GENERALISE, REMOVE = 100, 0.05, 0.8, 0.95
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: leftmost matches of the plain patterns; possessive and anchored to the start of a run, or to the last match
@@ -121,64 +128,90 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], value)
 
 
-def terms_near_entities(found: DataFrame) -> DataFrame:
-    """(doc_id, entity, context, term): the words around each base span."""
+def entities_of(texts: DataFrame) -> DataFrame:
+    """(th, entity, context, n_entity, n_contexts) of the entities with more than one context; a row per text."""
     before = F.col("s.start") - WINDOW
     left = F.expr(f"substring(text, greatest(s.start - {WINDOW}, 0) + 1, least(s.start, {WINDOW}))")
     right = F.expr(f"substring(text, s.end + 1, {WINDOW})")
     # words that the window cuts are left out
     left = F.when(before > 0, F.regexp_replace(left, r"^\S*", "")).otherwise(left)
     right = F.when(F.col("s.end") + WINDOW < F.length("text"), F.regexp_replace(right, r"\S*+$", "")).otherwise(right)
-    near = (
-        found.filter(F.col("doc_id").isNotNull() & (F.size("base") > 0))
-        .select("doc_id", "text", F.explode("base").alias("s"))
-        .select("doc_id", _entity(F.col("s")).alias("entity"), F.lower(F.concat_ws(" ", left, right)).alias("near"))
-    )
-    return near.select(
-        "doc_id",
-        "entity",
-        F.xxhash64("near").alias("context"),
-        F.explode(F.array_distinct(F.regexp_extract_all("near", F.lit(_WORD), F.lit(0)))).alias("term"),
+    context = F.xxhash64(F.lower(F.concat_ws(" ", left, right)))
+    held = (
+        texts.select("th", "text", F.explode("base").alias("s"))
+        .select("th", _entity(F.col("s")).alias("entity"), F.col("s.start").alias("start"), context.alias("context"))
+        .groupBy("th", "entity")
+        .agg(F.min_by("context", "start").alias("context"))
     )
+    held = written(held, "held")
+    counts = held.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("context").alias("n_contexts"))
+    return held.join(counts.filter("n_contexts > 1"), "entity")
+
 
+def terms_of_entities(texts: DataFrame, held: DataFrame) -> DataFrame:
+    """``held`` with the different words of the texts outside their base spans: a row per term."""
+    outside = F.lower(_clean_text(F.col("text"), F.col("base"), F.lit(" ")))
+    words = F.array_distinct(F.regexp_extract_all(outside, F.lit(_WORD), F.lit(0)))
+    return held.join(texts, "th").select(*held.columns, F.explode(words).alias("term"))
 
-def disclosing_terms(documents: DataFrame, near: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the terms that reach the lower threshold."""
-    contexts = near.select("entity", "context", "term").distinct()
-    joint = contexts.groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= SUPPORT)
-    entities = contexts.groupBy("entity").agg(F.countDistinct("context").alias("n_entity"))
+
+def disclosing_terms(documents: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(entity, term, disclosure) of the terms that reach the lower threshold beyond chance."""
+    joint = pairs.groupBy("entity", "term", "n_entity", "n_contexts").agg(
+        F.count("*").alias("n_both"), F.count_distinct("context").alias("n_together")
+    )
+    joint = written(joint, "joint")
+    tests = joint.count()
     # each different text counts once for each of its words; summed per task before the shuffle
     text = F.coalesce("text", F.lit(""))
     words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{M}]+"))
     different = documents.select(F.xxhash64(text).alias("th"), words.alias("words")).dropDuplicates(["th"])
     n_term = different.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     total = documents.select(F.xxhash64(text)).distinct().count()
+    share, expected = F.col("n_together") / F.col("n_contexts"), F.col("n_term") / F.lit(total)
+    surprise = (
+        F.when(share <= expected, F.lit(0.0))
+        .when(share == 1, -F.log(expected))
+        .otherwise(share * F.log(share / expected) + (1 - share) * F.log((1 - share) / (1 - expected)))
+    )
+    disclosure = F.when(
+        F.col("n_entity") < total,
+        F.log(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(total / F.col("n_entity")),
+    )
     return (
-        joint.join(entities, "entity")
+        joint.filter("n_together > 1")
         .join(n_term, "term")
-        .withColumn(
-            "disclosure",
-            F.log(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(total / F.col("n_entity")),
-        )
-        .filter((F.col("n_entity") < total) & (F.col("disclosure") >= GENERALISE))
+        .withColumn("disclosure", disclosure)
+        .filter((F.col("disclosure") >= GENERALISE) & (F.col("n_contexts") * surprise >= math.log(max(tests, 1) / CHANCE)))
         .select("entity", "term", "disclosure")
     )
 
 
 def _with_all_spans(documents: DataFrame, found: DataFrame) -> DataFrame:
     """Documents with base spans, and the spans of the terms that disclose their entities added."""
-    near = terms_near_entities(found)
-    disclosing = disclosing_terms(documents, near)
-    per_document = (
-        near.join(disclosing, ["entity", "term"])
-        .groupBy("doc_id", "term")
+    found = found.withColumn("th", F.xxhash64("text"))
+    texts = found.select("th", "text", "base").dropDuplicates(["th"])
+    pairs = terms_of_entities(texts, entities_of(texts))
+    per_text = (
+        pairs.select("th", "entity", "term")
+        .join(disclosing_terms(documents, pairs), ["entity", "term"])
+        .groupBy("th", "term")
         .agg(F.max("disclosure").alias("disclosure"))
-        .groupBy("doc_id")
+        .groupBy("th")
         .agg(
             F.collect_set(F.when(F.col("disclosure") >= REMOVE, F.col("term"))).alias("removed"),
             F.collect_set(F.when(F.col("disclosure") < REMOVE, F.col("term"))).alias("generalised"),
         )
     )
+    # texts that share an id share their terms
+    per_document = (
+        found.filter("doc_id is not null")
+        .select("doc_id", "th")
+        .distinct()
+        .join(per_text, "th")
+        .groupBy("doc_id")
+        .agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("removed", "generalised")))
+    )
     none = F.array().cast(f"array<{SPAN}>")
 
     def term_span(start, end, value):
@@ -192,7 +225,7 @@ def _with_all_spans(documents: DataFrame, found: DataFrame) -> DataFrame:
     has_terms = F.col("removed").isNotNull()
     words = F.when(has_terms, _positions(F.when(has_terms, F.col("text")).otherwise(""), _WORD, term_span)).otherwise(none)
     joined = found.join(per_document, "doc_id", "left")
-    return joined.withColumn("spans", F.sort_array(F.concat("base", words))).drop("removed", "generalised")
+    return joined.withColumn("spans", F.sort_array(F.concat("base", words))).drop("removed", "generalised", "th")
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
@@ -220,12 +253,12 @@ def personal_data(documents: DataFrame) -> DataFrame:
     )
 
 
-def _clean_text(text: Column, spans: Column) -> Column:
-    """The text with its spans replaced: [KIND] for base kinds and generalised terms, nothing for removed ones."""
+def _clean_text(text: Column, spans: Column, by: Column | None = None) -> Column:
+    """The text with its spans replaced: [KIND] for base kinds and generalised terms, nothing for removed ones; or ``by``."""
 
     def step(seen, s):
         ahead = s["start"] >= seen["at"]
-        mark = F.when(s["kind"] == "remove", F.lit("")).when(s["kind"] == "generalise", F.lit("[TERM]")).otherwise(
+        mark = by if by is not None else F.when(s["kind"] == "remove", F.lit("")).when(s["kind"] == "generalise", F.lit("[TERM]")).otherwise(
             F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
         )
         gap = F.substring(text, seen["at"] + 1, F.greatest(s["start"] - seen["at"], F.lit(0)))

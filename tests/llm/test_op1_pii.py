@@ -93,3 +93,22 @@ def test_copies_do_not_dilute_terms(spark):
     got = {r.doc_id: r for r in op.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all("remove:" in got[i].spans and got[i].n_terms == 1 for i in got if i < 6 or i >= 1000)
     assert not any(got[i].n_terms for i in got if 100 <= i < 1000)
+
+
+def test_terms_of_the_whole_text_and_of_few_contexts(spark):
+    """Two texts are enough for a term that nothing else holds, however far it stands from the entity; one is not."""
+    far = " ".join(f"the common line of text {i}" for i in range(40))
+    rows = [(i, f"zebrafish note {i}. {far} mail boss{i}x@corp.example.org, then write to chief@corp.example.org {i}") for i in range(2)]
+    rows += [(10, f"okapi {far} mail alone@corp.example.org")]
+    rows += [(100 + i, f"{far} mail then write to note number {i}") for i in range(300)]
+    got = {r.doc_id: r for r in op.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].n_terms == 1 and "remove:0:9" in got[i].spans for i in range(2))
+    assert not any(got[i].n_terms for i in got if i >= 10)
+
+
+def test_near_copies_with_equal_contexts_prove_nothing(spark):
+    """Texts that differ only far from the entity have one context."""
+    far = " ".join(f"the common line of text {i}" for i in range(40))
+    rows = [(i, f"number {i} {far} zebrafish mail boss@corp.example.org today") for i in range(9)]
+    rows += [(100 + i, f"{far} mail today number {i}") for i in range(300)]
+    assert not any(r.n_terms for r in op.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect())
