@@ -1,6 +1,7 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line. Its word n-grams (one and two words) are sparse features of a logistic regression over
+A paragraph is a line, or neighbouring lines without a blank one between them that only together hold a notice, as
+hard-wrapped notices do; such a run is numbered by its first line. Its word n-grams (one and two words) are sparse features of a logistic regression over
 licence families and ordinary text. The model is trained here: on variations of the family templates below, and
 on paragraphs of a bounded sample of documents as ordinary text. Probabilities are calibrated by a temperature
 fitted on examples kept from training. A paragraph that is probably a licence but whose best family stays under
@@ -24,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +100,10 @@ def trigrams(words: list[str]) -> set[tuple]:
     return set(zip(words, words[1:], words[2:], strict=False)) or {tuple(words)}
 
 
+#: runs of lines beyond twice the words of the longest template are not joined
+RUN_WORDS = 2 * max(len(_words(t)) for ts in TEMPLATES.values() for t in ts)
+
+
 @dataclass
 class Model:
     """``weights[feature]``: one weight per class; class 0 is ordinary text."""
@@ -136,6 +142,37 @@ class Model:
         return family if sure else "unknown", licence, similarity
 
 
+    def paragraphs(self, lines: list[str]) -> list[tuple[int, int, tuple]]:
+        """(first line, last line, judgement) of the licence paragraphs of a text."""
+        out = [(i, i, found) for i, line in enumerate(lines) if (found := self.judge(line))]
+        taken = {i for i, _, found in out if found[0] != "unknown"}
+        words = [_words(line.lower()) for line in lines]
+        tells = [not self.telling.isdisjoint(w) for w in words]
+        runs, free = [], 0  # lines before free belong to a run
+        for j in range(1, len(lines)):
+            if j < free:
+                continue
+            i, total, told = j, len(words[j]), tells[j]
+            while i > free and i not in taken and lines[i].strip() and i - 1 not in taken and lines[i - 1].strip():
+                i, total, told = i - 1, total + len(words[i - 1]), told or tells[i - 1]
+                if total > RUN_WORDS:
+                    break
+                found = self.judge("\n".join(lines[i : j + 1])) if told else None
+                if not found or found[0] == "unknown":
+                    continue
+                last = j
+                while last + 1 < len(lines) and lines[last + 1].strip() and last + 1 not in taken:
+                    more = self.judge("\n".join(lines[i : last + 2]))
+                    if not more or more[0] != found[0] or more[2] <= found[2]:
+                        break
+                    last, found = last + 1, more
+                runs.append((i, last, found))
+                free = last + 1
+                break
+        covered = {k for i, j, _ in runs for k in range(i, j + 1)}
+        return sorted([x for x in out if x[0] not in covered] + runs)
+
+
 def _variations(rng: np.random.RandomState, ordinary: list[list[str]]) -> list[tuple[list[str], int]]:
     """Templates in frames and among ordinary words, with some of their words left out."""
     out = []
@@ -244,12 +281,10 @@ def licence_paragraphs(documents: DataFrame, model: Model | None = None) -> Data
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                at = 0
-                for number, paragraph in enumerate(text.as_py().split("\n")):
-                    found = model.judge(paragraph) if model else None
-                    if found:
-                        rows.append((doc_id, number, at, at + len(paragraph), *found))
-                    at += len(paragraph) + 1
+                lines = text.as_py().split("\n")
+                starts = [0, *accumulate(len(line) + 1 for line in lines)]
+                for i, j, found in model.paragraphs(lines) if model else ():
+                    rows.append((doc_id, i, starts[i], starts[j + 1] - 1, *found))
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64()]
             names = ["doc_id", "paragraph", "start", "end", "family", "probability", "similarity"]

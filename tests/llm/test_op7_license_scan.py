@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 
@@ -51,3 +52,14 @@ def test_awkward_rows(awkward, model):
     assert op.licence_paragraphs(awkward, model).count() == 0
     assert op.licence_paragraphs(awkward).count() == 0
     assert op.licence_paragraphs(awkward.limit(0)).count() == 0
+
+
+def test_hard_wrapped_notices_keep_their_family(spark, model):
+    """Notices over several lines are found as one paragraph."""
+    rows = []
+    for i, (family, width) in enumerate([("mit", 70), ("gpl", 60), ("bsd", 50)]):
+        rows.append((i, "A heading\n\n" + "\n".join(textwrap.wrap(op.TEMPLATES[family][-1], width)) + "\n\nOrdinary words."))
+    got = op.licence_paragraphs(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert {(r.doc_id, r.paragraph): r.family for r in got if r.family != "unknown"} == {(0, 2): "mit", (1, 2): "gpl", (2, 2): "bsd"}
+    for r in got:
+        assert rows[r.doc_id][1].find("\n\n") < r.start < r.end <= rows[r.doc_id][1].rfind("\n\n")
