@@ -1,5 +1,3 @@
-import datetime as dt
-import decimal
 import os
 import sys
 
@@ -9,6 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from claimlens import Tables, configure, schemas  # noqa: E402
+from helpers import frame  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,50 +22,6 @@ def spark():
     return session
 
 
-def _value(v):
-    if isinstance(v, decimal.Decimal):
-        return float(v)
-    return v
-
-
-def rows(df):
-    """Rows as plain tuples in a stable order."""
-    return sorted((tuple(_value(v) for v in r) for r in df.collect()), key=repr)
-
-
-def dicts(df):
-    """Rows as dicts in result order."""
-    return [{k: _value(v) for k, v in r.asDict().items()} for r in df.collect()]
-
-
-def stamp(text):
-    return dt.datetime.fromisoformat(text)
-
-
-def day(text):
-    return dt.date.fromisoformat(text)
-
-
-def frame(spark, schema, records):
-    """A frame of dicts; missing columns are NULL, numbers become decimals where the schema says so."""
-    out = []
-    for r in records:
-        unknown = set(r) - set(schema.names)
-        assert not unknown, unknown
-        values = []
-        for f in schema.fields:
-            v = r.get(f.name)
-            if v is not None and f.dataType.typeName() == "decimal":
-                v = decimal.Decimal(str(v))
-            elif isinstance(v, str) and f.dataType.typeName() == "timestamp":
-                v = stamp(v)
-            elif isinstance(v, str) and f.dataType.typeName() == "date":
-                v = day(v)
-            values.append(v)
-        out.append(tuple(values))
-    return spark.createDataFrame(out, schema)
-
-
 @pytest.fixture
 def make(spark):
     """Tables from lists of dicts; tables that are not given are empty."""

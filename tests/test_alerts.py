@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import day, dicts, frame, rows
+from helpers import day, dicts, frame, rows
 from pyspark.sql import functions as F
 
 from claimlens import schemas

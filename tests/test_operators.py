@@ -1,7 +1,7 @@
 import random
 from collections import defaultdict
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from claimlens.operators.carry import carry_forward

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import day, dicts, rows
+from helpers import day, dicts, rows
 
 from claimlens.plans.aging import match_aging, match_aging_accounts, match_aging_matches
 from claimlens.plans.backlog import pending_rejected
