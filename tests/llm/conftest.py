@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-SF_DIR = "/root/testdata/sf0.001"
+from llm_helpers import SF_DIR  # noqa: E402
+
 
 
 @pytest.fixture(scope="session")
@@ -62,7 +63,3 @@ def awkward(spark):
 @pytest.fixture(scope="session")
 def documents(spark):
     return spark.read.parquet(f"{SF_DIR}/documents.parquet")
-
-
-def texts_of(df):
-    return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]

@@ -2,7 +2,7 @@ import hashlib
 import re
 
 from claimlens.llm import op1_pii as op
-from conftest import texts_of
+from llm_helpers import texts_of
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",

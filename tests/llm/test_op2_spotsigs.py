@@ -4,7 +4,7 @@ import re
 import pytest
 
 from claimlens.llm import op2_spotsigs as op
-from conftest import texts_of
+from llm_helpers import texts_of
 
 
 def spots(text):

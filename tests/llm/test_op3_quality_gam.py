@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 
 from claimlens.llm import op3_quality_gam as op
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 
 def test_held_out_accuracy(spark):

@@ -6,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from claimlens.llm import op4_bpe_automaton as op
-from conftest import texts_of
+from llm_helpers import texts_of
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from claimlens.llm import op6_chosen_path_join as op
-from conftest import texts_of
+from llm_helpers import texts_of
 
 
 def grams(text):

@@ -4,7 +4,7 @@ import textwrap
 import pytest
 
 from claimlens.llm import op7_license_scan as op
-from conftest import texts_of
+from llm_helpers import texts_of
 
 
 @pytest.fixture(scope="module")

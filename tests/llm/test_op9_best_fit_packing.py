@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from claimlens.llm import op9_best_fit_packing as op
-from conftest import texts_of
+from llm_helpers import texts_of
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 

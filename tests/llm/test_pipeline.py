@@ -1,6 +1,6 @@
 import corpus_pipeline
 from claimlens.llm import op3_quality_gam
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 
 def test_stages_take_effect(spark, tmp_path):

@@ -4,7 +4,7 @@ import pytest
 import __spark_entry__ as entry
 import check
 from claimlens.llm import registered
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 
 def test_every_operator_is_registered():
