@@ -13,6 +13,7 @@ from claimlens.llm import (
     op8_url_filter,
     op9_best_fit_packing,
     op10_va_topk,
+    op13_chebyshev_whitening,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter.query,
     "op9_best_fit_packing": op9_best_fit_packing.query,
     "op10_va_topk": op10_va_topk.query,
+    "op13_chebyshev_whitening": op13_chebyshev_whitening.query,
 }
 
 ORACLES = {
