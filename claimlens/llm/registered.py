@@ -13,6 +13,7 @@ from claimlens.llm import (
     op8_url_filter,
     op9_best_fit_packing,
     op10_va_topk,
+    op11_weak_supervision,
     op12_angular_negatives,
     op13_chebyshev_whitening,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter.query,
     "op9_best_fit_packing": op9_best_fit_packing.query,
     "op10_va_topk": op10_va_topk.query,
+    "op11_weak_supervision": op11_weak_supervision.query,
     "op12_angular_negatives": op12_angular_negatives.query,
     "op13_chebyshev_whitening": op13_chebyshev_whitening.query,
 }
