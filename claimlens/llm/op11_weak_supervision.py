@@ -201,28 +201,48 @@ def fit_labels(
 # ---------------------------------------------------------------- classifier
 
 
-def fit_linear(x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+@dataclass
+class Sparse:
+    """A matrix by its entries; most texts hold few of the terms."""
+
+    row: np.ndarray
+    col: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    def dot(self, b: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * b[self.col], self.shape[0])
+
+    def tdot(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, self.value * v[self.row], self.shape[1])
+
+
+def fit_linear(x: Sparse, target: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic regression on soft targets; Newton steps by conjugate gradients."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    beta = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], PENALTY)
-    penalty[-1] = 1e-3
+    penalty = np.append(np.full(x.shape[1], PENALTY), 1e-3)
+    beta = np.zeros(len(penalty))
+
+    def times(b):
+        return x.dot(b[:-1]) + b[-1]
+
+    def back(v):
+        return np.append(x.tdot(v), v.sum())
 
     def loss(b):
-        z = x @ b
+        z = times(b)
         return float(weight @ (np.logaddexp(0, z) - target * z) + (penalty * b * b).sum() / 2)
 
     now = loss(beta)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -40, 40)))
-        slope = x.T @ (weight * (p - target)) + penalty * beta
+        p = 1 / (1 + np.exp(-np.clip(times(beta), -40, 40)))
+        slope = back(weight * (p - target)) + penalty * beta
         curve = weight * np.maximum(p * (1 - p), 1e-9)
         step, r = np.zeros_like(beta), -slope
         d, rr = r.copy(), float(r @ r)
         for _ in range(50):
             if rr <= 1e-16 + 1e-6 * float(slope @ slope):
                 break
-            hd = x.T @ (curve * (x @ d)) + penalty * d
+            hd = back(curve * times(d)) + penalty * d
             a = rr / float(d @ hd)
             step += a * d
             r -= a * hd
@@ -271,44 +291,59 @@ def _speaks(times: np.ndarray, words: np.ndarray, level: str) -> np.ndarray:
     return times >= 1 + (level == "twice")
 
 
-def _induced(times: np.ndarray, words: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[tuple[int, str]]:
+def _induced(times: Sparse, words: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[tuple[int, str]]:
     """(term, level) of voters, chosen one by one for the toxic rows that those before leave uncovered."""
     toxic, clean = label == 1, label == 0
     if not toxic.any():
         return []
-    sets = [_speaks(times, words[:, None], level).astype(np.float32) for level in LEVELS]
-    false = [(weight[clean] @ s[clean] + 0.5) / (weight[clean].sum() + 1) for s in sets]
-    left, out = weight[toxic].astype(np.float64).copy(), []
-    hits = [s[toxic] for s in sets]
-    hit_share = [(weight[toxic] @ h + 0.5) / (weight[toxic].sum() + 1) for h in hits]
-    odds = [np.log(h / f) for h, f in zip(hit_share, false, strict=True)]
+    terms = times.shape[1]
+
+    def heard(rows, spoken, of):
+        own = spoken & rows[times.row]
+        return np.bincount(times.col[own], of[times.row[own]], terms)
+
+    spoken = [_speaks(times.value, words[times.row], level) for level in LEVELS]
+    odds = [
+        np.log((heard(toxic, s, weight) + 0.5) / (weight[toxic].sum() + 1))
+        - np.log((heard(clean, s, weight) + 0.5) / (weight[clean].sum() + 1))
+        for s in spoken
+    ]
+    left, out = weight * toxic, []
     while len(out) < VOTERS:
-        gains = [np.where(o > 1, (left @ h) * o, 0.0) for h, o in zip(hits, odds, strict=True)]
+        gains = [np.where(o > 1, heard(toxic, s, left) * o, 0.0) for s, o in zip(spoken, odds, strict=True)]
         b = int(np.argmax([g.max(initial=0) for g in gains]))
         j = int(np.argmax(gains[b]))
         if gains[b][j] < 3:
             break
         out.append((j, LEVELS[b]))
-        left = np.where(hits[b][:, j] > 0, left / 2, left)
+        left[times.row[spoken[b] & (times.col == j)]] /= 2
         odds[b][j] = 0
     return out
 
 
-def fit(vocabulary: Vocabulary, times: np.ndarray, words: np.ndarray, seen: np.ndarray, label: np.ndarray, weight: np.ndarray) -> Toxicity:
+def fit(vocabulary: Vocabulary, times: Sparse, words: np.ndarray, seen: np.ndarray, label: np.ndarray, weight: np.ndarray) -> Toxicity:
     """Voters, label model and classifier from the sample's counts (rows x terms)."""
     fixed = [(vocabulary.number[w], "once") for w in INSULTS]
     chosen = list(dict.fromkeys(fixed + _induced(times, words, label, weight)))
-    heard = np.stack([_speaks(times[:, j], words, level) for j, level in chosen], axis=1)
-    hits = sum(np.where(h, times[:, j], 0) for (j, _), h in zip(chosen, heard.T, strict=True))
+    n, k = times.shape
+    heard, hits = np.zeros((n, len(chosen)), bool), np.zeros(n)
+    for v, (j, level) in enumerate(chosen):
+        own = (times.col == j) & _speaks(times.value, words[times.row], level)
+        heard[times.row[own], v] = True
+        hits[times.row[own]] += times.value[own]
     quiet, thin = ~heard.any(axis=1), hits * 300 < words
     votes = np.column_stack([heard, seen, quiet, thin])
     names = [f"{vocabulary.terms[j]} {level}" for j, level in chosen] + [*PATTERNS, "quiet", "thin"]
     opening = np.where(heard[:, : len(fixed)].any(axis=1) | seen.any(axis=1), 0.9, 0.02)
     labels, target = fit_labels(votes, label, weight, opening, against=2)
-    a, b = _strength(times, words[:, None])
-    beta, intercept = fit_linear(np.hstack([a, b, seen]).astype(np.float32), target, weight)
-    k = len(vocabulary.terms)
-    voters = [(n, float(p1), float(p0)) for n, (p0, p1) in zip(names, labels.accuracy, strict=True)]
+    a, b = _strength(times.value, words[times.row])
+    row, pattern = np.nonzero(seen)
+    x = Sparse(
+        np.concatenate([times.row, times.row, row]), np.concatenate([times.col, times.col + k, pattern + 2 * k]),
+        np.concatenate([a, b, np.ones(len(row))]), (n, 2 * k + len(PATTERNS)),
+    )
+    beta, intercept = fit_linear(x, target, weight)
+    voters = [(name, float(p1), float(p0)) for name, (p0, p1) in zip(names, labels.accuracy, strict=True)]
     return Toxicity(vocabulary, beta[:k], beta[k : 2 * k], beta[2 * k :], intercept, voters)
 
 
@@ -416,17 +451,20 @@ def train(documents: DataFrame, labels: DataFrame) -> Toxicity:
             )
 
     schema = "doc_id long, label int, weight double, words long, terms array<int>, times array<int>, seen array<boolean>"
-    rows = sorted(sample.mapInArrow(measure, schema).collect(), key=lambda r: r.doc_id)
-    if not rows:
+    rows = sample.mapInArrow(measure, schema).toArrow().sort_by("doc_id")  # one row per document of the sample
+    if not len(rows):
         nothing = np.zeros(len(vocabulary.terms))
         return Toxicity(vocabulary, nothing, nothing, np.zeros(len(PATTERNS)), -np.inf)
-    times = np.zeros((len(rows), len(vocabulary.terms)), np.float32)
-    for i, r in enumerate(rows):
-        times[i, r.terms] = r.times
-    return fit(
-        vocabulary, times, np.array([r.words for r in rows]), np.array([r.seen for r in rows], bool),
-        np.array([r.label for r in rows]), np.array([r.weight for r in rows]),
+    column = {c: rows[c].combine_chunks() for c in rows.column_names}
+    terms = column["terms"]
+    row = np.repeat(np.arange(len(rows)), terms.value_lengths().to_numpy())
+    times = Sparse(
+        row, terms.flatten().to_numpy().astype(np.int64), column["times"].flatten().to_numpy().astype(np.float64),
+        (len(rows), len(vocabulary.terms)),
     )
+    seen = np.array(column["seen"].flatten()).astype(bool).reshape(len(rows), len(PATTERNS))
+    words, label, weight = (column[c].to_numpy() for c in ("words", "label", "weight"))
+    return fit(vocabulary, times, words, seen, label, weight)
 
 
 def scored(documents: DataFrame, model: Toxicity) -> DataFrame:

@@ -39,9 +39,11 @@ def test_label_model_estimates_accuracies_and_correlations():
 
 def test_posterior_labels_and_classifier():
     rng = np.random.default_rng(1)
-    x = rng.random((2000, 3)).astype(np.float32)
+    x = rng.random((2000, 3))
     target = 1 / (1 + np.exp(-(8 * x[:, 0] - 4)))
-    beta, intercept = op.fit_linear(x, target, np.ones(2000))
+    row, col = np.indices(x.shape)
+    sparse = op.Sparse(row.ravel(), col.ravel(), x.ravel(), x.shape)
+    beta, intercept = op.fit_linear(sparse, target, np.ones(2000))
     assert np.allclose(beta, [8, 0, 0], atol=0.6) and abs(intercept + 4) < 0.4
 
 
