@@ -1,14 +1,18 @@
 """Text lists per group (``string_agg``). A cell always holds every item of its list.
 
-Three forms, by what is known about the groups:
+Forms, by what is known about the groups:
 
 * ``set_text`` / ``bag_text`` are plain aggregates, for values from a small domain
   (stage codes, statuses, payers of one account, states).
 * ``text_lists`` is for few large groups, such as the accounts of one payer. Items are
   made distinct first, spread over ``(keys, list, item)``, then brought together in two
   steps: sorted pieces over salted sub-keys, and one merge of the pieces per key.
+* ``list_and_sums`` is the same for one list, with sums taken in the same passes.
 * ``group_lists`` is for many groups, such as accounts: one aggregation, with partial lists
   per task before the shuffle.
+* ``list_chunks`` cuts lists of any length into numbered pieces of a fixed number of items,
+  made from a range partitioning, so that no task holds a whole list; ``joined_chunks`` puts
+  them together where a cell is wanted after all.
 
 A list that does not fit one cell of Spark (2 GB) makes the query fail; it is never cut.
 ``list_items`` is the long form and always holds every item of every list.
@@ -22,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.operators.positions import numbered
+
 SALTS = 32
 
 
@@ -102,6 +108,62 @@ def text_lists(df: DataFrame, keys: Sequence[str], lists: Mapping[str, TextList]
     )
 
 
+def list_and_sums(
+    df: DataFrame, keys: Sequence[str], name: str, spec: TextList, sums: Mapping[str, Column]
+) -> DataFrame:
+    """One row per key: one list as with ``text_lists``, NULL where it has no item, and exact sums.
+
+    Rows are reduced to (keys, item), then to (keys, salt), then to the keys; the sums go along, so the rows are
+    read once. Sums of integers or decimals only, as they are added up in any order.
+    """
+    keys = list(keys)
+    totals = [F.sum(n).alias(n) for n in sums]
+    times = (F.lit(1) if spec.times is None else spec.times).cast("bigint")
+    rows = df.select(*keys, spec.value.cast("string").alias("_item"), times.alias("_times"), *[c.alias(n) for n, c in sums.items()])
+    copies = F.lit(1) if spec.distinct else F.sum("_times")
+    items = rows.groupBy(*keys, "_item").agg(copies.cast("int").alias("_copies"), *totals)
+    entry = F.when(F.col("_item").isNotNull(), F.struct(F.col("_item").alias("item"), F.col("_copies").alias("copies")))
+    salt = F.pmod(F.xxhash64("_item"), F.lit(SALTS)).alias("_salt")
+    pieces = items.groupBy(*keys, salt).agg(F.sort_array(F.collect_list(entry)).alias("_piece"), *totals)
+    whole = pieces.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list("_piece"))).alias("_bag"), *totals)
+    texts = F.col("_bag.item") if spec.distinct else F.flatten(F.transform("_bag", lambda x: F.array_repeat(x["item"], x["copies"])))
+    return whole.select(*keys, _joined(texts, spec.sep).alias(name), *sums)
+
+
+def list_chunks(
+    df: DataFrame, keys: Sequence[str], lists: Mapping[str, TextList], size: int = 10_000, folder: str | None = None
+) -> DataFrame:
+    """Every list in numbered pieces of ``size`` different items: keys, ``list_name``, ``chunk`` (from 1), ``items``,
+    ``copies`` and ``text`` (its items in order, joined, copies kept where the list keeps them).
+
+    The pieces in order, joined by the separator, are the list. The items are numbered by range partitions
+    (``positions.numbered``), so the work of a key with very many items is spread, and a task holds pieces only.
+    """
+    keys = list(keys)
+    group = [*keys, "list_name"]
+    placed = numbered(list_items(df, keys, lists), [F.asc("item")], "_place", group, folder)
+    entry = F.struct("_place", "item", F.col("copies").cast("int").alias("copies"))
+    sep = F.lit(None).cast("string")
+    for name, spec in lists.items():
+        sep = F.when(F.col("list_name") == name, F.lit(spec.sep)).otherwise(sep)
+    chunks = placed.groupBy(*group, (F.floor((F.col("_place") - 1) / size) + 1).alias("chunk")).agg(
+        F.sort_array(F.collect_list(entry)).alias("_bag"), F.count("*").alias("items"), F.sum("copies").alias("copies")
+    )
+    texts = F.flatten(F.transform("_bag", lambda x: F.array_repeat(x["item"], x["copies"])))
+    return chunks.select(*group, "chunk", "items", "copies", F.call_function("array_join", texts, sep).alias("text"))
+
+
+def joined_chunks(chunks: DataFrame, keys: Sequence[str], lists: Mapping[str, TextList]) -> DataFrame:
+    """The pieces put together: one row per key, one text column per list."""
+    cells = chunks.groupBy(*keys).agg(
+        *[
+            F.sort_array(F.collect_list(F.when(F.col("list_name") == n, F.struct("chunk", "text")))).alias(n)
+            for n in lists
+        ]
+    )
+    return cells.select(*keys, *[_joined(F.col(n)["text"], spec.sep).alias(n) for n, spec in lists.items()])
+
+
 def group_lists(
     df: DataFrame, keys: Sequence[str], lists: Mapping[str, TextList], aggs: Sequence[Column] = ()
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlens.functions.dates import days_old, on_day, younger_than
 from claimlens.functions.flags import yes_no
@@ -57,13 +58,13 @@ def _metrics(changed: DataFrame, counts: Mapping[str, Column]) -> DataFrame:
     return sums.select(F.explode(pairs).alias("m")).select("m.*")
 
 
-def _with_lines(state: DataFrame, lines: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """State plus new alerts, each row with the team and day of its line.
+def _with_lines(state: DataFrame, known: DataFrame, lines: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """State plus the alerts that are not ``known``, each row with the team and day of its line.
 
     A new alert takes them from its own line; an alert of today that is still unset takes them from
     the first line that names its record.
     """
-    new = insert_absent(state, lines, ALERT_KEYS, LINE_ORDER)
+    new = insert_absent(known, lines, ALERT_KEYS, LINE_ORDER)
     heads = lines.groupBy(F.col("pm_sk").alias("line_pm_sk")).agg(
         F.min_by(F.struct("assigned", "effective_date"), F.struct(*LINE_ORDER)).alias("line")
     )
@@ -172,41 +173,70 @@ def refresh_billed(state: DataFrame, t: Mapping[str, DataFrame], flag: str = "re
     )
 
 
-def ingest_alerts(
-    state: DataFrame, parsed: DataFrame, t: Mapping[str, DataFrame], as_of: dt.datetime
-) -> AlertRun:
-    """Next state after a batch of parsed alert lines (``sources.alert_text``).
+#: flags of an ingest and of a resolve run, kept with the rows that it writes
+INGEST_FLAGS = ("inserted", "filled", "refreshed")
+RESOLVE_FLAGS = ("refreshed", "resolved")
+
+
+def flag_schema(flags: tuple[str, ...]) -> T.StructType:
+    return T.StructType([T.StructField(f, T.BooleanType()) for f in flags])
+
+
+def settled(as_of: dt.date) -> Column:
+    """Alerts that no later run changes: processed, and not of the day of the run."""
+    return F.col("processed") & (F.col("created_at") < F.lit(as_of))
+
+
+def ingest_changes(
+    state: DataFrame,
+    known: DataFrame,
+    lines: DataFrame,
+    t: Mapping[str, DataFrame],
+    as_of: dt.datetime,
+    attributes: bool = True,
+) -> DataFrame:
+    """``state`` after a batch of good lines, with the flags of the changed rows.
 
-    Lines whose keys, note and code are in the state already are not inserted again. Metrics count
-    the inserted, filled and refreshed alerts, and ``unmatched``: inserted without a bill, which
-    leaves them out of the refresh and the report.
+    ``known`` holds the keys of all alerts; ``state`` may leave out the settled ones. ``attributes=False`` spares
+    the look at the pre-billing records where only the flags are wanted.
     """
-    state = alert_state(state)
-    lines = good_lines(parsed)
     today = as_of.date()
     # records of alerts that may change, taken from the inputs and not from the steps between
     unset = F.col("processed").isNull() & on_day(F.col("created_at"), today)
     added = lines.select("pm_sk")
-    of_today = state.filter(on_day(F.col("created_at"), today)).select("pm_sk").union(added)
     waiting = state.filter(~F.col("processed") | unset).select("pm_sk").union(added)
-    rows = _fill_from_billing(_with_lines(state, lines, as_of), _latest_bills(waiting, t), today)
-    rows = _refresh(_fill_from_pre_billing(rows, of_today, t, today))
-    metrics = _metrics(
-        rows,
-        {
-            "inserted": F.col("inserted"),
-            "filled": F.col("filled"),
-            "refreshed": F.col("refreshed"),
-            "unmatched": F.col("inserted") & ~F.col("filled"),
-        },
-    )
-    return AlertRun(rows.select(*state.columns), metrics, rejected_lines(parsed))
+    rows = _fill_from_billing(_with_lines(state, known, lines, as_of), _latest_bills(waiting, t), today)
+    if attributes:
+        of_today = state.filter(on_day(F.col("created_at"), today)).select("pm_sk").union(added)
+        rows = _fill_from_pre_billing(rows, of_today, t, today)
+    return _refresh(rows).select(*[f.name for f in ALERTS.fields], *INGEST_FLAGS)
 
 
-def resolve_alerts(state: DataFrame, keys: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date) -> AlertRun:
-    """Refreshes, then marks the unprocessed alerts of the listed ``pm_sk`` as processed."""
+def ingest_metrics(changes: DataFrame) -> DataFrame:
+    """Number of inserted, filled and refreshed alerts, and ``unmatched``: inserted without a bill, which
+    leaves them out of the refresh and the report."""
+    tests = {f: F.col(f) for f in INGEST_FLAGS} | {"unmatched": F.col("inserted") & ~F.col("filled")}
+    return _metrics(changes, tests)
+
+
+def ingest_alerts(
+    state: DataFrame, parsed: DataFrame, t: Mapping[str, DataFrame], as_of: dt.datetime
+) -> AlertRun:
+    """Next state after a batch of parsed alert lines (``sources.alert_text``), as frames that are not run yet.
+
+    Lines whose keys, note and code are in the state already are not inserted again. State and metrics are each
+    computed from the inputs; ``plans.daily`` writes the changes once and takes both from there.
+    """
     state = alert_state(state)
-    rows = update_from(
+    lines = good_lines(parsed)
+    changes = ingest_changes(state, state, lines, t, as_of)
+    metrics = ingest_metrics(ingest_changes(state, state, lines, t, as_of, attributes=False))
+    return AlertRun(changes.select(*state.columns), metrics, rejected_lines(parsed))
+
+
+def resolve_changes(state: DataFrame, keys: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
+    """Refreshes, then marks the unprocessed alerts of the listed ``pm_sk`` as processed; with flags."""
+    return update_from(
         refresh_billed(state, t),
         keys.select("pm_sk").distinct(),
         "pm_sk",
@@ -214,8 +244,17 @@ def resolve_alerts(state: DataFrame, keys: DataFrame, t: Mapping[str, DataFrame]
         {"processed": F.lit(True), "processed_at": F.lit(as_of)},
         "resolved",
     )
-    metrics = _metrics(rows, {"refreshed": F.col("refreshed"), "resolved": F.col("resolved")})
-    return AlertRun(rows.select(*state.columns), metrics)
+
+
+def resolve_metrics(changes: DataFrame) -> DataFrame:
+    return _metrics(changes, {f: F.col(f) for f in RESOLVE_FLAGS})
+
+
+def resolve_alerts(state: DataFrame, keys: DataFrame, t: Mapping[str, DataFrame], as_of: dt.date) -> AlertRun:
+    """Next state after a list of resolved records."""
+    state = alert_state(state)
+    rows = resolve_changes(state, keys, t, as_of)
+    return AlertRun(rows.select(*state.columns), resolve_metrics(rows))
 
 
 def open_alerts(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimlens.functions.dates import day
 from claimlens.functions.flags import not_among, rows_where, share, yes_no_null
 from claimlens.functions.text import json_text
-from claimlens.operators.lists import TextList, list_items, set_text, text_lists
+from claimlens.operators.lists import TextList, list_and_sums, list_chunks, list_items, set_text, text_lists
 from claimlens.plans.accounts import (
     account_payments,
     first_billing,
@@ -32,6 +32,15 @@ def account_order() -> list[Column]:
     ]
 
 
+def payer_order(scope: str) -> list[Column]:
+    columns = {
+        "all": ("pct_not_billed_record", "not_billed_avg_record_charge"),
+        "not_billed": ("pct_not_billed_record", "not_billed_avg_record_charge"),
+        "no_fax": ("pct_no_fax_record_not_billed", "no_fax_avg_record_charge"),
+    }[scope]
+    return [*(F.desc_nulls_first(c) for c in columns), F.asc_nulls_last("insurance_name")]
+
+
 def _billed() -> Column:
     return F.col("status") == BILLED
 
@@ -68,11 +77,10 @@ def _payer_payment_rows(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _payer_payments(t: Mapping[str, DataFrame], lists: Mapping[str, TextList]) -> DataFrame:
-    rows = _payer_payment_rows(t)
-    sums = rows.groupBy("insurance_name").agg(
-        F.sum(F.col("amount") * F.col("records")).alias("not_billed_tot_acct_payment")
-    )
-    return sums.join(text_lists(rows, ["insurance_name"], lists), "insurance_name", "left")
+    """Payments and payer list of each payer, from one pass over the payment rows."""
+    ((name, spec),) = lists.items()
+    paid = {"not_billed_tot_acct_payment": F.col("amount") * F.col("records")}
+    return list_and_sums(_payer_payment_rows(t), ["insurance_name"], name, spec, paid)
 
 
 def _payment_lists(scope: str) -> dict[str, TextList]:
@@ -105,20 +113,36 @@ def payer_opportunity(
     return _payer_no_fax(t, excluded_customers)
 
 
-def payer_opportunity_items(t: Mapping[str, DataFrame], scope: str = "all", excluded_customers=()) -> DataFrame:
-    """Long form of the payer report's open-ended lists: ``insurance_name``, ``list_name``,
-    ``item``, ``copies``."""
+def _open_lists(t: Mapping[str, DataFrame], scope: str, excluded_customers) -> list[tuple[DataFrame, dict[str, TextList]]]:
+    """Rows and lists of the payer report whose length has no bound."""
     parts = []
     if scope != "no_fax":
-        parts.append(list_items(_payer_payment_rows(t), ["insurance_name"], _payment_lists(scope)))
+        parts.append((_payer_payment_rows(t), _payment_lists(scope)))
     if scope != "all":
-        parts.append(
-            list_items(_accounts_in(t, in_scope(scope, excluded_customers)), ["insurance_name"], _account_list())
-        )
-    items = parts[0]
-    for more in parts[1:]:
-        items = items.unionByName(more)
-    return items
+        parts.append((_accounts_in(t, in_scope(scope, excluded_customers)), _account_list()))
+    return parts
+
+
+def _stacked(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def payer_opportunity_items(t: Mapping[str, DataFrame], scope: str = "all", excluded_customers=()) -> DataFrame:
+    """Long form of the payer report's open-ended lists: ``insurance_name``, ``list_name``,
+    ``item``, ``copies``."""
+    parts = _open_lists(t, scope, excluded_customers)
+    return _stacked([list_items(rows, ["insurance_name"], lists) for rows, lists in parts])
+
+
+def payer_opportunity_chunks(
+    t: Mapping[str, DataFrame], scope: str = "all", excluded_customers=(), size: int = 10_000
+) -> DataFrame:
+    """The same lists in numbered pieces, for payers whose list is too long for one cell."""
+    parts = _open_lists(t, scope, excluded_customers)
+    return _stacked([list_chunks(rows, ["insurance_name"], lists, size) for rows, lists in parts])
 
 
 def _payer_all(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -150,7 +174,7 @@ def _payer_all(t: Mapping[str, DataFrame]) -> DataFrame:
             "not_billed_tot_acct_payment",
             "not_billed_tot_acct_payer",
         )
-        .orderBy(F.desc_nulls_first("pct_not_billed_record"), F.desc_nulls_first("not_billed_avg_record_charge"))
+        .orderBy(*payer_order("all"))
     )
 
 
@@ -197,7 +221,7 @@ def _payer_not_billed(t: Mapping[str, DataFrame]) -> DataFrame:
             "not_billed_tot_acct_payment",
             "not_billed_tot_acct_payer",
         )
-        .orderBy(F.desc_nulls_first("pct_not_billed_record"), F.desc_nulls_first("not_billed_avg_record_charge"))
+        .orderBy(*payer_order("not_billed"))
     )
 
 
@@ -236,7 +260,7 @@ def _payer_no_fax(t: Mapping[str, DataFrame], excluded_customers) -> DataFrame:
             "pct_no_fax_record_not_billed",
             "no_fax_avg_record_charge",
         )
-        .orderBy(F.desc_nulls_first("pct_no_fax_record_not_billed"), F.desc_nulls_first("no_fax_avg_record_charge"))
+        .orderBy(*payer_order("no_fax"))
     )
 
 

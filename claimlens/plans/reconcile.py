@@ -59,6 +59,10 @@ def remittance_accounts(remittances: DataFrame, cust_ids=None) -> DataFrame:
     )
 
 
+def reconcile_order() -> list[Column]:
+    return [F.desc_nulls_first("pat_acct"), F.asc_nulls_last("cust_id")]
+
+
 def reconcile_transactions(
     t: Mapping[str, DataFrame],
     remittances: DataFrame,
@@ -94,5 +98,5 @@ def reconcile_transactions(
             "remit_carrier",
             "trans_carrier",
         )
-        .orderBy(F.desc_nulls_first("pat_acct"), F.asc_nulls_last("cust_id"))
+        .orderBy(*reconcile_order())
     )

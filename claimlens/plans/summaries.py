@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.plans.accounts import account_status_text
@@ -13,6 +13,15 @@ from claimlens.plans.rules import in_scope, stage_text, status_dictionary
 COUNTED = {"insurance": "insurance_name", "account": "pat_acct"}
 
 
+def status_order(scope: str) -> list[Column]:
+    number = "pre_billing_record" if scope == "all" else "not_billed_record"
+    return [F.desc_nulls_first(number), F.asc_nulls_last("pat_acct_status")]
+
+
+def stage_order() -> list[Column]:
+    return [F.desc_nulls_first("not_billed_record"), F.asc_nulls_last("pre_billing_record_status")]
+
+
 def status_summary(
     t: Mapping[str, DataFrame],
     by: str = "insurance",
@@ -49,7 +58,7 @@ def status_summary(
     return (
         counts.join(texts, "pat_acct_status", "left")
         .select("pat_acct_status", number, f"distinct_{counted}", "description", "x12_code", "note")
-        .orderBy(F.desc_nulls_first(number))
+        .orderBy(*status_order(scope))
     )
 
 
@@ -73,5 +82,5 @@ def prebill_summary(
             f"distinct_{counted}",
             stage_text(F.col("status"), scope, agency).alias("description"),
         )
-        .orderBy(F.desc_nulls_first("not_billed_record"))
+        .orderBy(*stage_order())
     )

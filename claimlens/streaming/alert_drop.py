@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from claimlens.plans.alerts import AlertRun, ingest_alerts
+from claimlens.plans.alerts import AlertRun
+from claimlens.plans.daily import stage_ingest
 from claimlens.sinks.snapshots import SnapshotTable
 from claimlens.sources.alert_text import parse_alert_lines
 
@@ -35,10 +36,11 @@ def watch_alerts(
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("pos", F.monotonically_increasing_id()).select("file", "block", "pos", "line")
-        run = ingest_alerts(table.read(), parse_alert_lines(lines), t, now())
+        # a batch that is run again after a failure writes its folder again
+        staged = stage_ingest(table, parse_alert_lines(lines), t, now(), f"{table.root}/batches/{batch_id}")
         if also is not None:
-            also(run, batch_id)
-        table.publish(run.state)
+            also(AlertRun(table.after(staged.run), staged.metrics, staged.rejects), batch_id)
+        table.commit(staged.run)
 
     lines = spark.readStream.text(folder).select(
         F.col("_metadata.file_path").alias("file"),
