@@ -392,6 +392,32 @@ VIEWS: dict[str, View] = {
             "work_comp_flag": "case event_id % 3 when 0 then 'Y' when 1 then 'N' else null end",
         },
     ),
+    # lines of key-list files
+    "key_lines": View(
+        ("orders",),
+        (),
+        {
+            "line": "case o_orderkey % 7 when 0 then " + _text("1000000 + o_orderkey") + " when 1 then " + _text("1000000 + o_orderkey")
+            + " || '  ' when 2 then " + _text("1000000 + o_orderkey") + " || ' done' when 3 then 'see ' || " + _text("1000000 + o_orderkey")
+            + " when 4 then " + _text("1000000 + o_orderkey") + " || '1' when 5 then '   ' else "
+            + _text("1000000 + o_orderkey - o_orderkey % 100") + " end",
+        },
+        "o_orderstatus <> 'F'",
+    ),
+    # text that is hard on CSV files
+    "awkward_notes": View(
+        ORDERS,
+        ORDERS_ON,
+        {
+            "id": "o_orderkey",
+            "note": "case o_orderkey % 7 when 0 then null when 1 then 'say \"hi\", ' || c_name when 2 then '\"' || c_name || '\"' "
+            "when 3 then 'one' || chr(10) || c_name when 4 then 'one' || chr(13) || chr(10) || 'two' when 5 then '  padded, ' || c_name || ' ' "
+            "else c_name end",
+            "charges": _money("o_totalprice"),
+            "day": "cast(o_orderdate as date)",
+            "other": "case when o_orderkey % 2 = 0 then '' else c_mktsegment end",
+        },
+    ),
     # alert text, one row per line: a file per day, a heading per hour, then its detail lines
     "alert_details": View(
         ("events",),

@@ -48,6 +48,8 @@ def on_day(stamp: Column, as_of: dt.date) -> Column:
     return (stamp >= F.lit(as_of)) & (stamp < F.lit(as_of + dt.timedelta(days=1)))
 
 
-def run_stamp(as_of: dt.datetime, zone: str = "UTC") -> Column:
-    """``YYYYMMDD_HHMM`` in a time zone, for output names and messages."""
-    return F.date_format(F.from_utc_timestamp(F.lit(as_of), zone), "yyyyMMdd_HHmm")
+def run_stamp(as_of: dt.datetime | Column, zone: str = "UTC") -> Column:
+    """``YYYYMMDD_HHMM`` of a UTC moment in a time zone, for output names and messages
+    (``sinks.files.stamp`` gives the same as plain text)."""
+    moment = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return F.date_format(F.from_utc_timestamp(moment, zone), "yyyyMMdd_HHmm")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,6 +62,15 @@ def json_record(document: Column, *keys: str) -> Column:
     return F.from_json(document, ", ".join(f"`{k}` string" for k in keys))
 
 
+#: ending of the typed column that can take the place of a JSON column
+FIELDS = "_fields"
+
+
+def json_fields(rows: DataFrame, document: str, *keys: str) -> Column:
+    """Keys of a JSON column as a struct: from its typed column where the table has one, else parsed here."""
+    return F.col(document + FIELDS) if document + FIELDS in rows.columns else json_record(F.col(document), *keys)
+
+
 def phone_digits(value: Column) -> Column:
     """Phone number without brackets, dashes and spaces."""
     return F.translate(value, "()- ", "")

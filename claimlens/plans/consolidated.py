@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.dates import parse_date
-from claimlens.functions.flags import among
-from claimlens.functions.text import blank_to_null, contains_ci, json_record, pg_concat
+from claimlens.functions.text import blank_to_null, contains_ci, json_fields, pg_concat
+from claimlens.operators.ids import kept_ids
 from claimlens.operators.latest import latest_rows
 from claimlens.operators.lists import TextList, group_lists, set_text
 
@@ -19,6 +19,8 @@ KEYS = ["cust_id", "pat_acct"]
 CHECK_NUMBER = r"(?<=# )(\d{1,30})"
 CHECK_AMOUNT = r"(?<=\$)[^,]*"
 SHORT_NOTE = 100
+# JSON keys of a claim.
+CLAIM_FACTS = ("accident_state", "facility", "service_date")
 
 
 def check_columns(note: Column) -> tuple[Column, Column]:
@@ -31,12 +33,11 @@ def check_columns(note: Column) -> tuple[Column, Column]:
 
 def received_claims(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     """Raw bills as they are, not deduplicated."""
-    claim = json_record(F.col("claim_content"), "accident_state", "facility", "service_date")
+    bills = t["client_raw_bills"]
     service = blank_to_null(F.col("j.service_date"))
     return (
-        t["client_raw_bills"]
-        .filter(among(F.col("cust_id"), cust_ids))
-        .withColumn("j", claim)
+        kept_ids(bills, "cust_id", cust_ids)
+        .withColumn("j", json_fields(bills, "claim_content", *CLAIM_FACTS))
         .select(
             *KEYS,
             F.col("total_charges").alias("charges"),
@@ -49,7 +50,7 @@ def received_claims(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
 
 def latest_status(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     """Latest status rows per account, ties kept, with the dictionary text."""
-    rows = t["patient_accounts"].filter(among(F.col("cust_id"), cust_ids)).select(*KEYS, "status_code", "status_date")
+    rows = kept_ids(t["patient_accounts"], "cust_id", cust_ids).select(*KEYS, "status_code", "status_date")
     texts = t["status_codes"].select(
         "status_code",
         pg_concat(F.col("status_desc"), " -- ", F.col("default_x12_code"), " -- ", F.col("usage")).alias("status_description"),
@@ -64,8 +65,7 @@ def latest_status(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
 def latest_bill(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     """Latest bill rows per account, ties kept."""
     rows = (
-        t["billing"]
-        .filter(among(F.col("cust_id"), cust_ids))
+        kept_ids(t["billing"], "cust_id", cust_ids)
         .select(
             *KEYS,
             F.col("bill_sent_at").alias("bill_drop_date"),
@@ -81,7 +81,7 @@ def latest_response_lists(t: Mapping[str, DataFrame], cust_ids=None) -> DataFram
     The lists are distinct per column, so they are taken straight from the rows; pairing every
     response with every payment note of the same moment would give the same lists.
     """
-    rows = t["claim_responses"].filter(among(F.col("cust_id"), cust_ids))
+    rows = kept_ids(t["claim_responses"], "cust_id", cust_ids)
     note = blank_to_null(F.col("note"))
     number, amount = check_columns(F.col("note"))
     tops = (
@@ -108,8 +108,8 @@ def latest_response_lists(t: Mapping[str, DataFrame], cust_ids=None) -> DataFram
 
 def posted_payments(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     return (
-        t["transactions"]
-        .filter(among(F.col("cust_id"), cust_ids) & ~F.col("duplicate_payment"))
+        kept_ids(t["transactions"], "cust_id", cust_ids)
+        .filter(~F.col("duplicate_payment"))
         .groupBy(*KEYS)
         .agg(F.round(F.sum("trans_amt"), 0).alias("tot_payment"), F.max("trans_date").alias("payment_date"))
     )
@@ -117,7 +117,7 @@ def posted_payments(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
 
 def account_sources(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     return group_lists(
-        t["pre_billing"].filter(among(F.col("cust_id"), cust_ids)),
+        kept_ids(t["pre_billing"], "cust_id", cust_ids),
         KEYS,
         {"claim_num": TextList(F.col("claim_num"), "; ")},
         [
@@ -131,7 +131,7 @@ def account_sources(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
 def consolidated_claims(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     """Raw bills with latest status, bill and response, payments and payers of their account.
 
-    ``cust_ids`` restricts every table; ``None`` takes all customers. An account has a row per raw
+    ``cust_ids``, a list or a frame, restricts every table; ``None`` takes all customers. An account has a row per raw
     bill, tied latest status and tied latest bill, as the plain joins give.
     """
     joined = received_claims(t, cust_ids)

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions import validity as v
-from claimlens.functions.flags import among, not_among, share
-from claimlens.functions.text import blank_to_null, first_text, json_record, phone_digits
+from claimlens.functions.flags import not_among, share
+from claimlens.functions.text import blank_to_null, first_text, json_fields, phone_digits
+from claimlens.operators.ids import kept_ids
 from claimlens.operators.lists import TextList, group_lists, set_text
 from claimlens.plans.aging import recent_customers
 from claimlens.plans.rules import ACTIVE_DAYS
@@ -55,20 +56,23 @@ def known_customers(t: Mapping[str, DataFrame], exclude=()) -> DataFrame:
 
 
 def demographics(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
-    """One row per raw bill: demographic values from its JSON, phone stripped to digits."""
+    """One row per raw bill: demographic values from its JSON, phone stripped to digits.
+
+    ``cust_ids`` is a list of customers or a frame of them (``operators.ids``); ``None`` takes all.
+    """
     bill = F.col("bill")
     claim = F.col("claim")
     phone = phone_digits(first_text(bill["patient_phone"], claim["patient_phone"]))
     ssn = first_text(bill["patient_ssn"], claim["patient_ssn"])
     plain = ["patient_lastname", "patient_firstname", "patient_addr1", "patient_city", "patient_state"]
+    bills = t["client_raw_bills"]
     return (
-        t["client_raw_bills"]
-        .filter(among(F.col("cust_id"), cust_ids))
+        kept_ids(bills, "cust_id", cust_ids)
         .select(
             *KEYS,
             "created_at",
-            json_record(F.col("content"), *BILL_KEYS).alias("bill"),
-            json_record(F.col("claim_content"), *CLAIM_KEYS).alias("claim"),
+            json_fields(bills, "content", *BILL_KEYS).alias("bill"),
+            json_fields(bills, "claim_content", *CLAIM_KEYS).alias("claim"),
         )
         .select(
             *KEYS,
@@ -102,8 +106,7 @@ def account_profiles(
         ],
     )
     payers = (
-        t["pre_billing"]
-        .filter(among(F.col("cust_id"), cust_ids))
+        kept_ids(t["pre_billing"], "cust_id", cust_ids)
         .groupBy(*KEYS)
         .agg(set_text(F.col("insurance_name"), ";  ").alias("payers_match"))
     )

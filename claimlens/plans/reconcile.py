@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.dates import yyyymmdd
-from claimlens.functions.flags import among, yes_no
+from claimlens.functions.flags import yes_no
 from claimlens.functions.text import pg_concat
+from claimlens.operators.ids import kept_ids
 from claimlens.operators.lists import TextList, group_lists
 
 KEYS = ["cust_id", "pat_acct"]
@@ -23,7 +24,7 @@ def grouped_amount(amount: Column) -> Column:
 
 def transaction_accounts(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame:
     """Posted transactions per account without duplicates."""
-    rows = t["transactions"].filter(among(F.col("cust_id"), cust_ids) & ~F.col("duplicate_payment"))
+    rows = kept_ids(t["transactions"], "cust_id", cust_ids).filter(~F.col("duplicate_payment"))
     paid = pg_concat(F.col("insurance_name"), " -- ", F.concat(F.lit("$"), grouped_amount(F.col("trans_amt"))))
     return group_lists(
         rows,
@@ -40,7 +41,7 @@ def transaction_accounts(t: Mapping[str, DataFrame], cust_ids=None) -> DataFrame
 
 def remittance_accounts(remittances: DataFrame, cust_ids=None) -> DataFrame:
     """Remittances per account; amounts are rounded half to even."""
-    rows = remittances.filter(among(F.col("cust_id"), cust_ids) & F.col("pat_acct").isNotNull())
+    rows = kept_ids(remittances, "cust_id", cust_ids).filter(F.col("pat_acct").isNotNull())
     lists = {
         "claim_adj_seg": TextList(F.col("claim_adj_seg"), ";  "),
         "remit_check_num": TextList(F.col("remit_check_num"), ";  "),
@@ -71,7 +72,7 @@ def reconcile_transactions(
 ) -> DataFrame:
     """One row per remitted account: was it posted, in full, and after the latest remittance?
 
-    ``cust_ids`` restricts both sides; ``cust_name`` is a constant, or NULL.
+    ``cust_ids``, a list or a frame, restricts both sides; ``cust_name`` is a constant, or NULL.
     """
     trans = transaction_accounts(t, cust_ids).drop("charges")
     total, remitted = F.col("tot_trans_amt"), F.col("remit_paymt")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions.dates import days_old, parse_date, years
 from claimlens.functions.flags import one_zero, without
-from claimlens.functions.text import blank_to_null, json_record, json_text
+from claimlens.functions.text import blank_to_null, json_fields, json_text
 from claimlens.operators.joins import coalesced_full_join, column_lookup
 from claimlens.operators.latest import latest_rows
 from claimlens.operators.lists import set_text
@@ -24,6 +24,11 @@ from claimlens.plans.rules import (
 )
 
 
+# JSON keys of the raw-bill tables.
+CLIENT_BILL_FACTS = ("patient_dob", "patient_gender")
+RAW_BILL_FACTS = ("patient_dob", "patient_gender", "primary_diagnostic_code")
+
+
 def ruled_responses(
     t: Mapping[str, DataFrame], excluded_source: str | None = None, rules=RESPONSE_RULES
 ) -> DataFrame:
@@ -95,10 +100,9 @@ def _traits(
 def account_traits(t: Mapping[str, DataFrame]) -> DataFrame:
     """Charge, received lag, diagnosis class, age and gender per account from both raw-bill tables;
     the client table goes first, column by column."""
-    client = t["client_raw_bills"].withColumn("j", json_record(F.col("content"), "patient_dob", "patient_gender"))
-    older = t["raw_bills"].withColumn(
-        "j", json_record(F.col("content"), "patient_dob", "patient_gender", "primary_diagnostic_code")
-    )
+    client, older = t["client_raw_bills"], t["raw_bills"]
+    client = client.withColumn("j", json_fields(client, "content", *CLIENT_BILL_FACTS))
+    older = older.withColumn("j", json_fields(older, "content", *RAW_BILL_FACTS))
     first = _traits(
         client,
         F.col("total_charges"),

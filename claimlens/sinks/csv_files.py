@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, line_sep: str | None = None, null_value: str | None = None) -> None:
-    """CSV with header; values with commas or quotes are quoted, quotes inside are doubled. One file per
-    partition."""
+    """CSV with header; values with commas, quotes or line breaks are quoted, quotes inside are doubled, blanks
+    around a value are kept. One file per partition."""
     writer = df.write.mode("errorifexists").option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if line_sep is not None:
         writer = writer.option("lineSep", line_sep)
     if null_value is not None:
@@ -38,3 +41,16 @@ def write_plain(df: DataFrame, path: str, sep: str = ",", null_text: str = "None
 def preview(df: DataFrame, rows: int = 5) -> tuple[DataFrame, int]:
     """First rows and the row count of a result."""
     return df.limit(rows), df.count()
+
+
+def write_counted(
+    df: DataFrame, path: str, rows: int = 5, order: Sequence[Column] = ()
+) -> tuple[DataFrame, int]:
+    """Writes a result as parquet and gives its first rows (in ``order``) and its row count.
+
+    The count is taken by the job that writes; the first rows are read from what it has written.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return (written.orderBy(*order) if order else written).limit(rows), seen.get["rows"]

@@ -86,18 +86,39 @@ def read_alerts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parse_alert_lines(read_lines(spark, paths))
 
 
-def parse_keys(lines: DataFrame) -> DataFrame:
-    """Keys from lines that begin with a seven-digit number.
+def parse_key_lines(lines: DataFrame) -> DataFrame:
+    """One row per line that holds anything: ``line``, ``pm_sk``, and ``reject`` with the reason where it has no key.
 
-    A line with text after the key holds no usable key, as its whole text is compared with the key.
+    A key is a seven-digit number at the start of its line. A line with text after the key holds no usable key,
+    as its whole text is compared with the key.
     """
-    return (
-        lines.filter(F.col("line").rlike(r"^\d{7}\b"))
-        .select(F.trim(F.regexp_replace("line", r"\s+", " ")).try_cast("bigint").alias("pm_sk"))
-        .filter(F.col("pm_sk").isNotNull())
-        .distinct()
+    whole = F.trim(F.regexp_replace("line", r"\s+", " "))
+    starts = F.col("line").rlike(r"^\d{7}\b")
+    key = F.when(starts, whole.try_cast("bigint"))
+    return lines.filter(whole != "").select(
+        "line",
+        key.alias("pm_sk"),
+        F.when(~starts, "does not start with a key").when(key.isNull(), "text after the key").alias("reject"),
     )
 
 
+def good_keys(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("reject").isNull()).select("pm_sk").distinct()
+
+
+def rejected_keys(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("reject").isNotNull()).select("line", "reject")
+
+
+def parse_keys(lines: DataFrame) -> DataFrame:
+    """The distinct keys of the lines."""
+    return good_keys(parse_key_lines(lines))
+
+
+def read_key_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Parsed lines of key-list files, read in splits."""
+    return parse_key_lines(spark.read.text(paths).withColumnRenamed("value", "line"))
+
+
 def read_keys(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return parse_keys(spark.read.text(paths).withColumnRenamed("value", "line"))
+    return good_keys(read_key_lines(spark, paths))

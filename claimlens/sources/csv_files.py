@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlens.schemas import REMITTANCE_COLUMNS
 
@@ -22,6 +23,9 @@ PAYER_LIST_RENAMES = {
     "direct": "direct_connect",
     "indirect": "indirect_connect",
 }
+# stands for a quoted empty cell while a file is read, as the reader takes an empty text for NULL
+EMPTY = "\u0001"
+
 PAYER_LIST_DROPS = ("Clearinghouse", "Payer_Name", "Liability", "Last_Updated")
 
 
@@ -35,6 +39,20 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     return underscored(spark.read.option("header", True).option("escape", '"').csv(path))
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_sep: str | None = None) -> DataFrame:
+    """Columns of a schema from files as ``sinks.csv_files.write_csv`` makes them.
+
+    Values may hold line breaks, so a file is read by one task; the writer makes one per partition. An empty
+    cell is NULL, a quoted empty one is empty text.
+    """
+    options = {"header": True, "escape": '"', "multiLine": True, "emptyValue": EMPTY, "mode": "FAILFAST"}
+    if line_sep is not None:
+        options["lineSep"] = line_sep
+    rows = spark.read.schema(schema).options(**options).csv(path)
+    texts = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
+    return rows.select(*[F.replace(c, F.lit(EMPTY), F.lit("")).alias(c) if c in texts else F.col(f"`{c}`") for c in rows.columns])
+
+
 def clean_payer_list(raw: DataFrame, extra_drops: Iterable[str] = ()) -> DataFrame:
     """Payer list with one row per payer id: the greatest value of every other column.
 
