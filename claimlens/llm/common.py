@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_SHARED = "/tmp/checkpoints"
+from claimlens.sinks.files import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,15 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``)."""
-    base = spark.conf.get("spark.checkpoint.dir", "") or DEFAULT_SHARED
-    return f"{base.rstrip('/')}/claimlens-{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); an error where it is
+    unset on a cluster."""
+    return shared_folder(spark, name)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends here and lost executors lose nothing."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
