@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 from claimlens.llm.common import table, texts, written
 
 CLOSING_ID = 0
-CACHED_CHUNKS = 500_000
-CACHED_CHUNK_CHARS = 48
+CACHED_CHUNKS, CACHED_IDS, SLICE_BYTES = 500_000, 4_000_000, 8 << 20
+CHUNKS_AT_ONCE = 500
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -45,10 +46,13 @@ PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 
 class ChunkTokens:
-    """Ids of whole texts by the tokenizers library, through a cache of the text between blanks.
+    """Ids of whole texts by the tokenizers library, many texts at a time.
 
-    The vocabulary's normaliser and word pattern never look across white space, so a text may be cut at
-    blanks and line ends and the ids of the parts joined. Lower-casing is only done early for ASCII texts.
+    The vocabulary's normaliser and word pattern never look across white space, and a full stop or comma between an ASCII
+    letter and white space is a word of its own. So texts are cut at blanks, line ends and there, each different
+    chunk is encoded once, and the ids are gathered by chunk number. New chunks are encoded many at a time, with a
+    comma between them whose id tells where one ends. Chunks stay known until there are ``CACHED_CHUNKS`` of them or
+    ``CACHED_IDS`` ids. Chunks that might hold a special token keep their capitals.
     """
 
     def __init__(self, spec: str):
@@ -60,39 +64,67 @@ class ChunkTokens:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: dict[str, bytes] = {"": b""}
-        self.marks = {c: self._encode([c])[0] for c in ".,"}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        parts = text.replace("\n", " ").split(" ")
-        cache = self.cache
-        missing = set(parts).difference(cache)
-        long = {}
-        if missing:
-            if len(cache) > CACHED_CHUNKS:
-                cache.clear()
-                cache[""] = b""
-                missing = set(parts).difference(cache)
-            # letters before a full stop or comma are words of their own
-            marked = [p for p in missing if p[-1] in self.marks and p[:-1].lower().isalpha()]
-            missing.difference_update(marked)
-            missing.update({p[:-1] for p in marked}.difference(cache))
-            asked = list(missing)
-            for part, ids in zip(asked, self._encode(asked), strict=True):
-                (cache if len(part) <= CACHED_CHUNK_CHARS else long)[part] = ids
-            for part in marked:
-                word = part[:-1]
-                ids = (cache[word] if word in cache else long[word]) + self.marks[part[-1]]
-                (cache if len(part) <= CACHED_CHUNK_CHARS else long)[part] = ids
-        if long:
-            return b"".join(cache[p] if p in cache else long[p] for p in parts)
-        return b"".join(map(cache.__getitem__, parts))
+        (self.comma,) = self._encode(",")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {"": 0}
+        self.flat, self.starts, self.lengths = array("I"), array("q", [0]), array("q", [0])
+
+    def _encode(self, text: str) -> np.ndarray:
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, np.uint32)
+
+    def _add(self, chunks: list[str], ids: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
+        self.number.update(zip(chunks, range(len(self.starts), len(self.starts) + len(chunks)), strict=True))
+        self.starts.frombytes((first + len(self.flat)).astype(np.int64).tobytes())
+        self.lengths.frombytes(n.astype(np.int64).tobytes())
+        self.flat.frombytes(ids.tobytes())
+
+    def _learn(self, chunks: list[str]) -> None:
+        plain = [c for c in chunks if "," not in c]
+        for at in range(0, len(plain), CHUNKS_AT_ONCE):
+            some = plain[at : at + CHUNKS_AT_ONCE]
+            ids = self._encode(" , ".join([*some, ""]))
+            ends = np.flatnonzero(ids == self.comma)
+            first = np.concatenate([[0], ends[:-1] + 1])
+            self._add(some, ids, first, ends - first)
+        for chunk in chunks:
+            if "," in chunk:
+                ids = self._encode(chunk)
+                self._add([chunk], ids, np.zeros(1, np.int64), np.array([len(ids)]))
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, and where each text's ids end."""
+        apart = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), "([A-Za-z])([.,])( |$)", r"\1 \2\3")
+        parts = pc.split_pattern(apart, " ")
+        words = parts.flatten()
+        words = pc.if_else(pc.match_substring(words, "<"), words, pc.ascii_lower(words))
+        encoded = pc.dictionary_encode(words)
+        chunks = encoded.dictionary.to_pylist()
+        if len(self.number) > CACHED_CHUNKS or len(self.flat) > CACHED_IDS:
+            self._forget()
+        self._learn([c for c in chunks if c not in self.number])
+        codes = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))[encoded.indices.to_numpy()]
+        flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
+        starts, counts = np.frombuffer(self.starts, np.int64)[codes], np.frombuffer(self.lengths, np.int64)[codes]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = flat[np.repeat(starts - ends + counts, counts) + np.arange(total)]
+        del flat  # the array must be free to grow
+        at = parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()
+        return ids, np.concatenate([[0], ends])[at]
+
+
+def text_slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """A batch's texts in runs of about ``most`` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else np.zeros(0, np.int64)
+    start = 0
+    while start < len(texts):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 _TOKENS: dict[str, ChunkTokens] = {}
@@ -102,22 +134,27 @@ def tokenized_pieces(documents: DataFrame, vocabulary: str, max_tokens: int = 20
     """Pieces with their input partition and their rank among the pieces of their length in it."""
     with open(vocabulary, encoding="utf-8") as f:
         spec = documents.sparkSession.sparkContext.broadcast(f.read())
-    closing = array("I", [CLOSING_ID]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary not in _TOKENS:
             _TOKENS[vocabulary] = ChunkTokens(spec.value)
         tokens, part, seen = _TOKENS[vocabulary], TaskContext.get().partitionId(), Counter()
+        closing = np.array([CLOSING_ID], "<u4").tobytes()
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = memoryview(tokens.ids(text.as_py() or "") + closing)
-                n = len(ids) // 4
-                for piece, start in enumerate(range(0, n, max_tokens)):
-                    length = min(max_tokens, n - start)
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    rows.append((doc_id, piece, start, length, crc, part, seen[length]))
-                    seen[length] += 1
+            rows, keys = [], iter(batch.column("doc_id").to_pylist())
+            for some in text_slices(pc.fill_null(batch.column("text"), ""), SLICE_BYTES):
+                every, ends = tokens.batch(some)
+                data, at = memoryview(every.astype("<u4", copy=False)).cast("B"), 0
+                for end in ends.tolist():
+                    doc_id, n = next(keys), end - at + 1
+                    for piece, start in enumerate(range(0, n, max_tokens)):
+                        length = min(max_tokens, n - start)
+                        crc = zlib.crc32(data[4 * (at + start) : 4 * min(at + start + length, end)])
+                        if start + length == n:
+                            crc = zlib.crc32(closing, crc)
+                        rows.append((doc_id, piece, start, length, crc, part, seen[length]))
+                        seen[length] += 1
+                    at = end
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays(

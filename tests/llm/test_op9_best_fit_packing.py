@@ -4,6 +4,7 @@ from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -25,10 +26,26 @@ def test_cached_ids_equal_the_library(library):
         tokens = op.ChunkTokens(f.read())
     parts = [
         "a", "The", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u200b", "e\u0301", "É", "ß", "漢", "😀", "<|endoftext|>", "<|ENDOFTEXT|>",
-        "'S", "'", "12", "½", "Ⅷ", "!", ",", ".", "\r\n", "İ", "ΑΣ", "\u0301", "\u1100", "\u1161", "x" * 60,
+        "'S", "'", "12", "a,b", "end.", "END,", "x.y", "1.", "<a.", "é.", "×,", "½", "Ⅷ", "!", ",", ".", "\r\n", "İ", "ΑΣ", "\u0301", "\u1100", "\u1161", "x" * 60,
     ]
-    for text in ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(4000)]:
-        assert tokens.ids(text) == array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(4000)]
+    got = [i for some in op.text_slices(pa.array(texts), 5000) for i in np.split(*batch(tokens, some))]
+    assert len(got) == len(texts)
+    for text, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def batch(tokens, some):
+    ids, ends = tokens.batch(some)
+    return ids, ends[:-1]
+
+
+def test_slices_hold_every_text_once():
+    texts = ["", "a" * 10, "", "é" * 100, "b", ""]
+    for most in (1, 12, 1000):
+        slices = [s.to_pylist() for s in op.text_slices(pa.array(texts), most)]
+        assert sum(slices, []) == texts and all(slices)
+    assert list(op.text_slices(pa.array([], pa.string()), 5)) == []
 
 
 def one_by_one(lengths, capacity):
