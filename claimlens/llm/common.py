@@ -30,3 +30,38 @@ def texts(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
+
+
+#: the place of rows without an id, behind all others
+LAST_ID = (1 << 63) - 1
+
+#: at most so many hashes may stand for several texts each; with 64 bits one pair is expected among 6e9 texts
+MOST_CLASHES = 10_000
+
+
+def order_id():
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+
+
+def text_hash(text):
+    return F.xxhash64(text)
+
+
+def other_hash(text):
+    """A second hash, which tells texts of equal ``text_hash`` apart."""
+    return F.xxhash64(text, F.lit(1))
+
+
+def text_key(text, clashes: list[int]):
+    """A number per text: its hash, or one made from both hashes where that hash stands for several texts."""
+    th = text_hash(text)
+    return F.when(th.isin(clashes), F.xxhash64(th, other_hash(text))).otherwise(th) if clashes else th
+
+
+def clashing(groups: DataFrame, key: str) -> list[int]:
+    """The keys of ``groups`` that stand for several texts, as their least and greatest second hashes ``a`` and ``b``
+    differ (as good as always none)."""
+    found = [r[0] for r in groups.filter("a <> b").select(key).limit(MOST_CLASHES + 1).collect()]
+    if len(found) > MOST_CLASHES:
+        raise RuntimeError(f"more than {MOST_CLASHES} text hashes stand for several texts")
+    return found

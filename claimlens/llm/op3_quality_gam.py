@@ -6,7 +6,7 @@ lookup table over its bins. The feature pairs whose joint bins explain most of w
 two-dimensional table each, boosted in the same way with trees of one cut per feature. A score is the
 logistic function of the intercept plus the table entries of a document's bins.
 
-The fit uses at most about ``TRAIN_ROWS`` labelled documents (a sample by a hash of doc_id; all of them if
+The fit uses at most ``TRAIN_ROWS`` labelled documents (those of least hash of doc_id; all of them if
 there are fewer); every document is scored. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined results: a null or empty text is scored by the features of an empty text. Labels with a null doc_id or
@@ -197,7 +197,7 @@ def held_out():
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Gam:
-    """Fits on a sample of about ``rows`` labelled documents that are not held out."""
+    """Fits on a sample of at most ``rows`` labelled documents that are not held out."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .filter("doc_id is not null and quality is not null")
@@ -205,9 +205,8 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ga
         .groupBy("doc_id")
         .agg(F.max("quality").alias("quality"))
     )
-    share = min(1.0, rows / max(1, known.count()))
-    # bounded by the sample, so it is safe to broadcast and its features to collect
-    chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    # the rows of least hash: as many at every size, so it is safe to broadcast them and to collect their features
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     columns = ", ".join(f"{c} double" for c in FEATURES)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +217,10 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ga
                 names=["doc_id", "quality", *FEATURES],
             )
 
-    found = texts(documents).join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
-    sample = found.mapInArrow(measure, f"doc_id long, quality int, {columns}").dropDuplicates(["doc_id"]).toPandas()
+    # of several texts of one id the one of least hash, so that reruns agree
+    found = texts(documents).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality")
+    found = found.agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = found.mapInArrow(measure, f"doc_id long, quality int, {columns}").toPandas()
     sample = sample.sort_values("doc_id")
     return fit(sample[list(FEATURES)].to_numpy(), (sample["quality"].to_numpy() > 0).astype(float))
 

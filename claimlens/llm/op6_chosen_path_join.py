@@ -14,8 +14,9 @@ know from the list of their buckets. Components of links over all buckets give t
 Words are what white space separates. Texts of one to four words have one n-gram of all their words. Sets hold
 32-bit hashes of n-grams.
 
-Defined results: a text without words, null or empty, is linked with equal texts only. Rows with a null doc_id take no
-part. Repeated rows count as copies of their text. Other columns of the input are ignored. An empty table gives
+Defined results: a text without words, null or empty, is linked with equal texts only. Rows with a null doc_id take
+part like others and come last; ids that several texts share name each of them. A group of rows without ids has a null
+class_id. Repeated rows count as copies of their text. Other columns of the input are ignored. An empty table gives
 an empty result.
 """
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import table, texts, written
+from claimlens.llm.common import LAST_ID, clashing, order_id, other_hash, table, text_key, texts, written
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9999
 #: least probability that a pair at the threshold meets in a run of three splits (1.25 tokens from the second on)
@@ -37,7 +38,7 @@ MEET = 0.58
 BUCKET, BLOCK = 256, 256
 COLUMNS_AT_ONCE = 8192
 
-SKETCH = "doc_id long, c long, n int, sketch array<int>, grams binary"
+SKETCH = "doc_id long, c long, other long, n int, sketch array<int>, grams binary"
 LINKS = "c long, root long, n_texts long, n_docs long"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -103,15 +104,13 @@ def gram_hashes(text: str, words: int = WORDS) -> np.ndarray:
     return mixed((sums[ends] - sums[starts]) * down[starts])
 
 
-def sketches(documents: DataFrame, coordinates: int, words: int = WORDS) -> DataFrame:
-    """Text class, MinHash sketch and n-gram set of each document."""
+def sketches(documents: DataFrame, coordinates: int, words: int = WORDS, clashes: list[int] = ()) -> DataFrame:
+    """Text class, MinHash sketch and n-gram set of each document; doc_id is its place, nulls last."""
     factor = np.random.RandomState(11).randint(1, 1 << 62, coordinates).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
-            classes, sizes, found, sets = [], [], [], []
+            sizes, found, sets = [], [], []
             for text in batch.column("text"):
                 text = text.as_py()
                 grams = np.unique(gram_hashes(text, words) >> np.uint64(32)).astype(np.uint32)
@@ -120,8 +119,6 @@ def sketches(documents: DataFrame, coordinates: int, words: int = WORDS) -> Data
                 for at in range(0, len(wide), 4096):
                     values = (factor[:, None] * wide[None, at : at + 4096]) >> np.uint64(32)
                     np.minimum(least, values.min(axis=1), out=least)
-                digest = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
-                classes.append(digest - (1 << 63))
                 sizes.append(len(grams))
                 found.append(least.astype(np.uint32).view(np.int32))
                 sets.append(grams.tobytes())
@@ -129,13 +126,17 @@ def sketches(documents: DataFrame, coordinates: int, words: int = WORDS) -> Data
             offsets = np.arange(len(found) + 1, dtype=np.int32) * coordinates
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()),
+                    *(batch.column(x) for x in ("doc_id", "c", "other")), pa.array(sizes, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(sets, pa.binary()),
                 ],
-                names=["doc_id", "c", "n", "sketch", "grams"],
+                names=["doc_id", "c", "other", "n", "sketch", "grams"],
             )
 
-    return texts(documents).filter("doc_id is not null").mapInArrow(sketch, SKETCH)
+    text = F.col("text")
+    rows = texts(documents).select(
+        order_id().alias("doc_id"), text_key(text, list(clashes)).alias("c"), other_hash(text).alias("other"), "text"
+    )
+    return rows.mapInArrow(sketch, SKETCH)
 
 
 # ---------------------------------------------------------------- paths
@@ -320,12 +321,21 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("c", "label")
 
 
-def near_classes(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """Per document: class_id (least doc_id of its group of links), text_id (least doc_id of its text), and numbers
-    of linked other documents and other texts."""
+def text_groups(
+    documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL
+) -> tuple[DataFrame, DataFrame, list[int]]:
+    """(documents: place and text class c; texts: c, their group's ``label``, first place, and numbers of linked
+    other documents and texts; the clashes that ``text_key`` needs)."""
     runs = runs_for(recall)
-    sketched = written(sketches(documents, run_tokens(runs)[-1][2][-1] + 1, words), "sketches")
-    sizes = sketched.groupBy("c").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("size"))
+    coordinates, clashes = run_tokens(runs)[-1][2][-1] + 1, []
+    while True:
+        sketched = written(sketches(documents, coordinates, words, clashes), "sketches")
+        sizes = sketched.groupBy("c").agg(
+            F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.min("other").alias("a"), F.max("other").alias("b")
+        )
+        sizes = written(sizes, "sizes")
+        if clashes or not (clashes := clashing(sizes, "c")):
+            break
     met = written(buckets(sketched.select("c", "n", "sketch"), runs), "met")
     found = written(links(sketched, met, sizes, similarity), "links")
     labels = components(found.filter("c <> root"))
@@ -336,15 +346,35 @@ def near_classes(documents: DataFrame, words: int = WORDS, similarity: float = S
         .select(
             "c",
             F.coalesce("label", "c").alias("label"),
-            F.col("first_id").alias("text_id"),
+            "first_id",
             (F.coalesce("n_docs", F.lit(0)) + F.col("size") - 1).alias("n_links"),
             F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_text_links"),
         ),
         "classes",
     )
-    ids = named.groupBy("label").agg(F.min("text_id").alias("class_id"))
-    named = named.join(ids, "label").select("c", "class_id", "text_id", "n_links", "n_text_links")
-    return sketched.select("doc_id", "c").join(named, "c").drop("c")
+    return sketched.select("doc_id", "c"), named, clashes
+
+
+def near_classes(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """Per document: class_id (least doc_id of its group of links), text_id (least doc_id of its text), and numbers
+    of linked other documents and other texts."""
+    rows, named, _ = text_groups(documents, words, similarity, recall)
+    ids = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
+    named = named.join(ids, "label").withColumnRenamed("first_id", "text_id")
+    known = [F.when(F.col(x) < LAST_ID, F.col(x)).alias(x) for x in ("doc_id", "class_id", "text_id")]
+    return rows.join(named, "c").select(*known, "n_links", "n_text_links")
+
+
+def one_of_each(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """The first document of each group of near copies, with its columns: that of the least doc_id (of several texts of
+    that id the one of the least key; nulls last). A row that repeats the id and text of the one that stays goes."""
+    _, named, clashes = text_groups(documents, words, similarity, recall)
+    chosen = named.groupBy("label").agg(F.min(F.struct("first_id", "c")).alias("first"))
+    chosen = chosen.select(F.col("first.first_id").alias("_first"), F.col("first.c").alias("_c"))
+    marked = documents.withColumns(
+        {"_first": order_id(), "_c": text_key(F.coalesce("text", F.lit("")), clashes)}
+    )
+    return marked.join(chosen, ["_first", "_c"], "left_semi").dropDuplicates(["_first", "_c"]).select(*documents.columns)
 
 
 def query(spark, sf_dir):

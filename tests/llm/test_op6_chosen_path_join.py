@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from claimlens.llm import common
 from claimlens.llm import op6_chosen_path_join as op
 from llm_helpers import texts_of
 
@@ -14,7 +15,8 @@ def grams(text):
 
 def brute(rows):
     """Linked documents and group of each document, repeated rows counted as copies."""
-    sets = [(i, grams(t), t) for i, t in rows if i is not None]
+    last = 1 << 62  # stands for no id
+    sets = [(last if i is None else i, grams(t), t) for i, t in rows]
     links, label = Counter(), list(range(len(sets)))
     for a in range(len(sets)):
         for b in range(len(sets)):
@@ -27,11 +29,12 @@ def brute(rows):
     least = {}
     for k, z in enumerate(label):
         least[z] = min(least.get(z, sets[k][0]), sets[k][0])
-    return sorted((sets[k][0], least[label[k]], links[k]) for k in range(len(sets)))
+    out = [(sets[k][0], least[label[k]], links[k]) for k in range(len(sets))]
+    return sorted(((*(None if x == last else x for x in r[:2]), r[2]) for r in out), key=repr)
 
 
 def result(df):
-    return sorted((r.doc_id, r.class_id, r.n_links) for r in op.near_classes(df).collect())
+    return sorted(((r.doc_id, r.class_id, r.n_links) for r in op.near_classes(df).collect()), key=repr)
 
 
 def near_copies(seed=1, groups=6, copies=25, words=60):
@@ -88,3 +91,23 @@ def test_runs_reach_the_recall():
 def test_chain_of_links_is_one_group(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)], "c long, root long")
     assert {tuple(r) for r in op.components(edges).collect()} == {(i, 0) for i in range(41)}
+
+
+def test_rows_without_an_id_and_shared_ids(spark):
+    """No text is lost: a null id comes last, and texts that share an id are told apart."""
+    text = " ".join(f"w{i}" for i in range(40))
+    near = text + " end"
+    rows = [(None, "alone " + text[::-1]), (None, near), (1, "first text of one"), (1, "second text of one"), (5, text), (5, text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in op.near_classes(df).collect()), key=repr)
+    assert got == sorted([(None, None, 0), (None, 5, 2), (1, 1, 0), (1, 1, 0), (5, 5, 2), (5, 5, 2)], key=repr)
+    kept = sorted(((r.doc_id, r.text) for r in op.one_of_each(df).collect()), key=repr)
+    assert kept == sorted([rows[0], rows[2], rows[3], rows[4]], key=repr)
+
+
+def test_texts_of_equal_hash_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(common, "text_hash", lambda text: op.F.length(text).cast("long") % 10)
+    rows = near_copies(groups=3, copies=8)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(df) == sorted(brute(rows), key=repr)
+    assert op.one_of_each(df).count() == len({c for _, c, _ in brute(rows)})

@@ -38,6 +38,14 @@ def test_awkward_rows(spark, awkward, tmp_path):
     assert "sequence_id" in docs.columns
 
 
+def test_near_duplicates_lose_no_text(spark):
+    """Null and shared ids are kept apart; only copies go."""
+    rows = [(None, "a text of nobody"), (1, "one text of an id"), (1, "another text of it"), (2, "one text of an id"), (1, "one text of an id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(rows[:3], key=repr)
+
+
 def test_empty_table(spark, awkward, tmp_path):
     docs = awkward.limit(0)
     for name, stage in corpus_pipeline.STAGES:
