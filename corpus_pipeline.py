@@ -1,14 +1,14 @@
 """The corpus pipeline: five stages over the documents table, each written and read again.
 
 1. quality: documents that the quality model rejects go.
-2. near_duplicates: of each group of near copies the document with the least doc_id stays.
+2. near_duplicates: of each group of near copies the document with the least doc_id stays, no other goes.
 3. repeats: byte strings that start earlier in the corpus are cut out; a document that they leave empty goes.
 4. personal_data: personal data and the terms that disclose them are replaced.
 5. packing: the documents are tokenized and packed into sequences.
 
-All but the last stage return the columns of documents. Rows with a null doc_id cannot be told apart and
-are dropped by the near-duplicate stage; repeated rows of one doc_id are reduced to one there. Null texts count as
-empty ones; empty documents are rejected by the quality model where it has learnt anything.
+All but the last stage return the columns of documents. Rows are told apart by doc_id and text: rows without an id
+take part and come last, texts that share an id are documents of their own, and a row that repeats both goes. Null
+texts count as empty ones; empty documents are rejected by the quality model where it has learnt anything.
 """
 
 from __future__ import annotations
@@ -36,9 +36,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group of near copies."""
-    classes = op6_chosen_path_join.near_classes(docs)
-    chosen = classes.filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return op6_chosen_path_join.one_of_each(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
