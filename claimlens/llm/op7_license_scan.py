@@ -2,15 +2,14 @@
 
 A paragraph is a line, or neighbouring lines without a blank one between them that only together hold a notice, as
 hard-wrapped notices do; such a run is numbered by its first line. Its word n-grams (one and two words) are sparse features of a logistic regression over
-licence families and ordinary text. The model is trained here: on variations of the family templates below, and
-on paragraphs of a bounded sample of documents as ordinary text. Probabilities are calibrated by a temperature
-fitted on examples kept from training. A paragraph that is probably a licence but whose best family stays under
-``FAMILY_PROBABILITY`` is of the unknown class. A predicted family counts as confirmed if the paragraph holds
-enough of the three-word sequences of one of its templates, otherwise it becomes unknown too. A paragraph that shares
-none with any template, or neither is near its family's template nor says one of ``LICENCE_WORDS``, is no licence,
-whatever its probability.
-
-Words that no template has are no features. The weakest features together cannot lift any family over ordinary text
+licence families, licences of no such family, and ordinary text. The model is trained here: on variations of the family
+templates, on notices of other licences under real and made-up names as the unknown class, and, as ordinary text, on
+paragraphs of a bounded sample of documents and on sentences that use the words of licences for other things.
+Probabilities are calibrated by a temperature fitted on examples kept from training. What is probably no ordinary text
+is a licence. Its family counts if it is the likeliest class, with at least ``FAMILY_PROBABILITY``, and a template of
+it confirms it by enough of its three-word sequences; otherwise the licence is unknown.
+
+Words that no notice and none of those sentences has are no features. The weakest features together cannot lift any family over ordinary text
 (their weights are bounded by Cauchy-Schwarz against the intercepts); a paragraph without one of the words of the
 others is ordinary and not scored further, so the result is that of scoring every paragraph.
 
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 from claimlens.llm.common import table, texts
 
 #: bounds of the sample of ordinary text that the model is trained on
-SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS = 1500, 2
+SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS, SAMPLE_CHARS, SPARE_PARAGRAPHS = 1500, 2, 2000, 300
 VARIATIONS, STEPS, RATE, DECAY = 40, 150, 0.3, 1e-4
 LICENCE_PROBABILITY, FAMILY_PROBABILITY, SIMILARITY = 0.5, 0.6, 0.6
 
@@ -83,8 +82,48 @@ TEMPLATES = {
         "No part of this publication may be reproduced, distributed or transmitted in any form without the prior written permission of the publisher.",
     ),
 }
-#: fixed values: a paragraph without one of these words is of no unknown licence
-LICENCE_WORDS = frozenset(("copyright", "licence", "licenced", "license", "licensed", "permission", "permitted", "redistribution", "rights"))
+# fixed values: notices of other licences, with a place for a name, and names
+OTHER_NOTICES = (
+    "Licensed under the {} License.",
+    "Licensed under the {} licence, version 9.",
+    "Distributed under the {} License.",
+    "Released under the terms of the {} License.",
+    "This software is made available under the {} Public License, version 2.",
+    "Use of this work is governed by the {} license agreement.",
+    "This package is copyrighted by {} and licensed for internal use only.",
+    "You may use, copy and modify this material under the conditions of the {} license.",
+    "Permission to use, copy, modify and distribute this software for any purpose with or without fee is hereby granted by {}.",
+    "This software is provided by {} as is, without any express or implied warranty, under its own license.",
+    "The text is subject to the {} licence; see the file for its terms.",
+)
+OTHER_NAMES = (
+    "ISC", "Eclipse", "Artistic", "zlib", "Boost Software", "Python Software Foundation", "SIL Open Font", "European Union",
+    "GNU Lesser General", "GNU Affero General", "Microsoft Reciprocal", "Academic Free", "Open Software",
+)
+# fixed values: sentences in which the words of licences say other things
+ORDINARY_SENTENCES = (
+    "the license plates of the {} were new",
+    "she renewed her driving licence in the {}",
+    "his fishing license had expired before the {}",
+    "people have the same rights as the {}",
+    "all of the {} stood on the right of the road",
+    "they asked the {} for permission to leave",
+    "no part of the {} was sold",
+    "the general went to the public house near the {}",
+    "version 2.0 of the {} is here",
+    "the work on the {} is free for any person",
+    "under the {} there is a copy of the file",
+    "this {} is subject to change in the source",
+    "the apache and the mozilla met the {} in the commons",
+    "the mit of the {} and the public",
+    "copyright is a subject that the {} teaches",
+    "they must redistribute the food to the {}",
+)
+# fixed values: words of notices that say nothing about licences by themselves
+FUNCTION_WORDS = tuple(
+    "a all and any are as be by can do for free from in is it its may no not of on or out own part that the this to under use "
+    "version with without work you 0 1 2 3 4".split()
+)
 FRAMES = ("{}", "Note: {}", "{} See the file for details.", "This document is offered as follows. {}", "(c) The authors. {}")
 
 SCHEMA = "doc_id long, paragraph int, start int, end int, family string, probability double, similarity double"
@@ -106,7 +145,7 @@ RUN_WORDS = 2 * max(len(_words(t)) for ts in TEMPLATES.values() for t in ts)
 
 @dataclass
 class Model:
-    """``weights[feature]``: one weight per class; class 0 is ordinary text."""
+    """``weights[feature]``: one weight per class; class 0 is ordinary text, the last one licences of no family."""
 
     families: list[str]
     weights: dict[str, np.ndarray]
@@ -126,22 +165,16 @@ class Model:
         words = _words(paragraph.lower())
         if self.telling.isdisjoint(words):
             return None
-        own = trigrams(words)
-        if all(own.isdisjoint(t) for ts in self.templates.values() for t in ts):
-            return None
         p = self.probabilities(words)
         licence = 1.0 - float(p[0])
         if licence < LICENCE_PROBABILITY:
             return None
-        best = int(np.argmax(p[1:]))
-        family = self.families[best]
+        own, likeliest = trigrams(words), 1 + int(np.argmax(p[1:]))
+        family = self.families[int(np.argmax(p[1 : 1 + len(self.families)]))]
         similarity = max(len(own & t) / len(t) for t in self.templates[family])
-        if similarity < SIMILARITY and LICENCE_WORDS.isdisjoint(words):
-            return None
-        sure = float(p[best + 1]) >= FAMILY_PROBABILITY and similarity >= SIMILARITY
+        sure = likeliest <= len(self.families) and float(p[likeliest]) >= FAMILY_PROBABILITY and similarity >= SIMILARITY
         return family if sure else "unknown", licence, similarity
 
-
     def paragraphs(self, lines: list[str]) -> list[tuple[int, int, tuple]]:
         """(first line, last line, judgement) of the licence paragraphs of a text."""
         out = [(i, i, found) for i, line in enumerate(lines) if (found := self.judge(line))]
@@ -189,6 +222,22 @@ def _variations(rng: np.random.RandomState, ordinary: list[list[str]]) -> list[t
     return out
 
 
+def _filled(rng: np.random.RandomState, frames: tuple[str, ...], names: tuple[str, ...], spare: list[str], label: int):
+    """Frames with names in them, half of them made up of ordinary words, some among ordinary words."""
+    out = []
+    for frame in frames:
+        for k in range(VARIATIONS):
+            made_up = " ".join(spare[rng.randint(len(spare))] for _ in range(rng.randint(1, 4))) if spare else "thing"
+            name = names[rng.randint(len(names))] if names and k % 2 else made_up
+            words = _words(frame.format(name).lower())
+            if k >= VARIATIONS // 2:
+                words = [w for w in words if rng.rand() > 0.1]
+            if k % 3 == 2 and spare:
+                words = words + [spare[rng.randint(len(spare))] for _ in range(rng.randint(1, 12))]
+            out.append((words, label))
+    return out
+
+
 def fit(paragraphs: list[str]) -> Model:
     """Trains on the templates and on ordinary paragraphs; those that hold a template are left out."""
     families = list(TEMPLATES)
@@ -197,18 +246,26 @@ def fit(paragraphs: list[str]) -> Model:
     ordinary = [w for w in ordinary if all(len(trigrams(w) & t) < 0.5 * len(t) for ts in templates.values() for t in ts)]
     rng = np.random.RandomState(3)
     examples = _variations(rng, ordinary)
-    vocabulary = sorted(set().union(*(ngrams(_words(t.lower())) for ts in TEMPLATES.values() for t in ts)))
+    spare = sorted({w for words in ordinary[:SPARE_PARAGRAPHS] for w in words})
+    unknown = len(families) + 1
+    examples += _filled(rng, OTHER_NOTICES, OTHER_NAMES, spare, unknown)
+    examples += _filled(rng, ORDINARY_SENTENCES, (), spare, 0)
+    small = FUNCTION_WORDS + tuple(spare[: 2 * len(FUNCTION_WORDS)])
+    examples += [([small[i] for i in rng.randint(len(small), size=rng.randint(1, 15))], 0) for _ in range(10 * VARIATIONS)]
+    examples += [([FUNCTION_WORDS[i] for i in rng.randint(len(FUNCTION_WORDS), size=rng.randint(1, 15))], 0) for _ in range(10 * VARIATIONS)]
+    known = [*(t for ts in TEMPLATES.values() for t in ts), *(f.format("") for f in (*OTHER_NOTICES, *ORDINARY_SENTENCES)), *OTHER_NAMES]
+    vocabulary = sorted(set().union(*(ngrams(_words(t.lower())) for t in known)))
     column = {g: i for i, g in enumerate(vocabulary)}
     examples += [(w, 0) for w in ordinary]
     # ordinary text in pieces, as short paragraphs are common
     examples += [(w[: rng.randint(1, 15)], 0) for w in ordinary]
     x = np.zeros((len(examples), len(vocabulary)), np.float32)
     for i, (words, _) in enumerate(examples):
-        known = [column[g] for g in ngrams(words) if g in column]
-        if known:
-            x[i, known] = 1.0 / np.sqrt(len(known))
+        own = [column[g] for g in ngrams(words) if g in column]
+        if own:
+            x[i, own] = 1.0 / np.sqrt(len(own))
     y = np.array([label for _, label in examples])
-    target = np.eye(len(families) + 1, dtype=np.float32)[y]
+    target = np.eye(unknown + 1, dtype=np.float32)[y]
     kept = rng.rand(len(y)) < 0.25
     w, b = np.zeros((len(vocabulary), target.shape[1]), np.float32), np.zeros(target.shape[1], np.float32)
     xt, tt = x[~kept], target[~kept]
@@ -253,22 +310,23 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(documents: DataFrame) -> Model | None:
-    """Fits the model on a sample of about ``SAMPLE_DOCUMENTS`` documents, chosen by a hash of the text."""
-    source = texts(documents)
-    n = source.count()
-    if not n:
+    """Fits the model on a sample of ``SAMPLE_DOCUMENTS`` different texts, those of least hash, and of each of them on
+    the first ``SAMPLE_CHARS`` characters of ``SAMPLE_PARAGRAPHS`` lines in the middle."""
+    # as many texts at every size; each task hands over no more hashes than are wanted
+    hashes = texts(documents).select(F.xxhash64("text").alias("h")).groupBy("h").agg(F.lit(1)).select("h")
+    least = [r.h for r in hashes.orderBy("h").limit(SAMPLE_DOCUMENTS).collect()]
+    if not least:
         return None
-    share = min(1.0, SAMPLE_DOCUMENTS / n)
+    source = texts(documents).withColumn("h", F.xxhash64("text")).filter(F.col("h") <= least[-1])
     lines = F.filter(F.split("text", "\n"), lambda p: F.length(F.trim(p)) > 0)
     middle = F.greatest(F.lit(1), F.floor(F.size("lines") / 2).cast("int"))
     sample = (
-        source.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-        .select("text")
-        .distinct()
+        source.groupBy("h")
+        .agg(F.min("text").alias("text"))
         .select(lines.alias("lines"))
         .filter(F.size("lines") > 0)
         .select(F.explode(F.slice("lines", middle, F.lit(SAMPLE_PARAGRAPHS))).alias("p"))
-        .select(F.substring("p", 1, 2000).alias("p"))
+        .select(F.substring("p", 1, SAMPLE_CHARS).alias("p"))
     )
     return fit(sorted(r.p for r in sample.collect()))
 

@@ -41,11 +41,8 @@ def test_skipping_equals_scoring_every_paragraph(documents, model):
     for _, text in texts_of(documents.limit(80)):
         for p in text.split("\n"):
             words = op._words(p.lower())
-            scored = words and 1 - model.probabilities(words)[0] >= op.LICENCE_PROBABILITY
-            near = words and any(op.trigrams(words) & t for ts in model.templates.values() for t in ts)
-            found = model.judge(p)
-            assert not found or scored and near
-            assert found or not (scored and near) or op.LICENCE_WORDS.isdisjoint(words)
+            scored = bool(words) and 1 - model.probabilities(words)[0] >= op.LICENCE_PROBABILITY
+            assert scored == bool(model.judge(p))
 
 
 def test_awkward_rows(awkward, model):
@@ -63,3 +60,36 @@ def test_hard_wrapped_notices_keep_their_family(spark, model):
     assert {(r.doc_id, r.paragraph): r.family for r in got if r.family != "unknown"} == {(0, 2): "mit", (1, 2): "gpl", (2, 2): "bsd"}
     for r in got:
         assert rows[r.doc_id][1].find("\n\n") < r.start < r.end <= rows[r.doc_id][1].rfind("\n\n")
+
+
+# notices and sentences that the model was not trained on
+UNKNOWN = [
+    "Distributed under the ISC License.", "Licensed under the Foobar Special License, version 9.", "Released under the terms of the Frobnitz License.",
+    "This module is distributed under the Q Public License.", "Copyright Acme. Licensed for evaluation only.", "Made available under the Clear BSD-like Licence of the institute.",
+    "Use of this package is governed by the Initech license agreement.", "Permission to copy and distribute this document is hereby granted by its owner.",
+]
+PLAIN = [
+    "The license plates of both cars were stolen.", "He lost his driving licence last year.", "They fight for the rights of the workers.",
+    "She asked her mother for permission to stay out.", "The general public likes the new version.", "All rights and wrongs aside, the house was warm.",
+    "The apache tribe lived in the open country.", "A free copy of the book lay under the table.", "The mit der und die", "Version 2.0 is here.",
+    "It is subject to the weather.", "No part of the road was dry.", "Creative people and common sense", "Two modifications in source and form of the dress",
+]
+
+
+def test_held_out_precision_and_recall(model):
+    """Unknown licences against ordinary sentences with the same words, and calibration on both."""
+    p = lambda t: 1 - model.probabilities(op._words(t.lower()))[0]
+    found = [model.judge(t) for t in UNKNOWN]
+    wrong = [t for t in PLAIN if model.judge(t)]
+    assert sum(f is not None and f[0] == "unknown" for f in found) >= 0.75 * len(UNKNOWN), [t for t, f in zip(UNKNOWN, found) if not f]
+    assert len(wrong) <= 0.15 * len(PLAIN), wrong
+    mean = lambda texts: sum(map(p, texts)) / len(texts)
+    assert mean(UNKNOWN) > 0.7 and mean(PLAIN) < 0.25
+
+
+def test_sample_does_not_vanish_with_size(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(op, "SAMPLE_DOCUMENTS", 20)
+    monkeypatch.setattr(op, "fit", lambda paragraphs: seen.append(paragraphs))
+    op.train(spark.range(3000).selectExpr("id as doc_id", "concat('text ', id % 2000) as text"))
+    assert len(seen[0]) == len(set(seen[0])) == 20
