@@ -8,8 +8,8 @@ reads their exact values in the order of the bounds, and stops when no bound lef
 score. Bounds are exact integers in floating point, so no result is lost.
 
 Queries meet blocks in groups: a stated query set against all rows. A task gets one block of queries and a
-few blocks of vectors; both sizes are fixed, so nothing in a task grows with the data. The query side, the
-smaller one, is repeated per group of blocks.
+few blocks of vectors, a cell of a grid with about one cell per task; cells have a greatest size, so nothing in a
+task grows without bound. Each side is repeated once per row or column of the grid.
 
 Defined results: vectors that are null, or hold a null or non-finite component, and rows with a null vec_id
 take no part. Vectors of different lengths are not compared. Each row whose id is divisible by ``every`` is a
@@ -31,6 +31,8 @@ from claimlens.llm.common import table, written
 
 SCALE = 1024
 BLOCK_ROWS, QUERY_ROWS, BLOCKS_PER_GROUP = 1024, 1024, 4
+#: a task's share grows with the table up to these bounds, which keep it within a task's memory
+MOST_QUERY_ROWS, MOST_BLOCKS = 4096, 64
 
 BLOCKS = "dim int, block long, n int, wide boolean, ids binary, low binary, width binary, cells binary, exact binary"
 QUERIES = "dim int, g long, n int, wide boolean, ids binary, block binary, pos binary, exact binary"
@@ -116,13 +118,26 @@ def query_blocks(blocks: DataFrame, every: int) -> DataFrame:
         pick, "dim int, block long, pos int, id long, exact binary"
     )
     found = written(found, "queries")
-    groups = max(1, -(-found.count() // QUERY_ROWS))
+    rows = found.count()
+    side = max(1, round(_tasks(blocks.sparkSession) ** 0.5))
+    groups = max(1, -(-rows // min(max(-(-rows // side), QUERY_ROWS), max(MOST_QUERY_ROWS, QUERY_ROWS))))
     return found.withColumn("g", F.pmod(F.xxhash64("block", "pos"), F.lit(groups))).groupBy("dim", "g").applyInPandas(pack, QUERIES)
 
 
+def _tasks(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _meetings(queries: DataFrame, blocks: DataFrame, columns: list[str]):
-    """Both sides by (dim, query block, group of vector blocks)."""
-    groups = max(1, -(-blocks.count() // BLOCKS_PER_GROUP))
+    """Both sides by (dim, query block, group of vector blocks).
+
+    The cells form a grid with about as many as the session has shuffle partitions, so its sides, and with them the
+    copies of each side's rows, grow with the square root of the number of tasks and not with the table, until a
+    cell has reached its greatest size.
+    """
+    known = blocks.count()
+    side = max(1, -(-_tasks(blocks.sparkSession) // max(1, queries.select("g").distinct().count())))
+    groups = max(1, -(-known // min(max(-(-known // side), BLOCKS_PER_GROUP), max(MOST_BLOCKS, BLOCKS_PER_GROUP))))
     own = queries.select(F.col("dim").alias("dim"), F.col("g").alias("g"))
     left = queries.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("s", F.col("s").cast("long"))
     right = (

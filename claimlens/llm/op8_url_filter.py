@@ -23,10 +23,22 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-STRICT = ("adult", "casino", "escort", "porn", "sex", "spam", "viagra", "warez", "xxx")
+# fixed values: terms that reject by themselves
+STRICT = (
+    "adult", "adulte", "bdsm", "camgirl", "camgirls", "casino", "casinos", "cialis", "erotic", "escort", "escorts", "fetish",
+    "hardcore", "hentai", "keygen", "malware", "milf", "nsfw", "nude", "nudes", "phishing", "porn", "porno", "pornos", "sex",
+    "sexcam", "sexy", "slots", "spam", "spyware", "steroids", "viagra", "warez", "webcamsex", "xanax", "xxx",
+)
+# fixed values: terms that reject together, weighted by how seldom they stand in the addresses of ordinary pages
 SOFT = (
-    ("ads", 1.0), ("bets", 1.0), ("bonus", 1.0), ("cheap", 1.0), ("click", 1.0), ("crack", 1.0), ("deal", 1.0),
-    ("farm", 1.0), ("free", 1.0), ("loan", 1.0), ("pills", 1.0), ("poker", 1.0), ("track", 1.0), ("win", 1.0),
+    ("ad", 0.25), ("ads", 0.5), ("affiliate", 1.0), ("banner", 0.75), ("bet", 1.25), ("bets", 1.5), ("betting", 1.75), ("bingo", 1.25),
+    ("bonus", 1.0), ("buy", 0.5), ("cash", 0.75), ("cheap", 1.0), ("click", 1.0), ("clickbait", 1.75), ("coupon", 0.75), ("crack", 1.5),
+    ("cracked", 1.5), ("credit", 0.5), ("dating", 1.25), ("deal", 0.75), ("deals", 0.75), ("diet", 0.75), ("discount", 0.75),
+    ("download", 0.25), ("farm", 0.25), ("forex", 1.25), ("free", 0.5), ("gambling", 1.75), ("girls", 1.0), ("hack", 1.0), ("hot", 0.75),
+    ("jackpot", 1.75), ("lead", 0.25), ("loan", 1.25), ("loans", 1.5), ("lottery", 1.5), ("lotto", 1.5), ("mortgage", 0.75), ("offer", 0.75),
+    ("offers", 0.75), ("payday", 1.75), ("pharmacy", 1.25), ("pill", 1.25), ("pills", 1.5), ("poker", 1.75), ("popup", 1.25), ("prize", 1.0),
+    ("promo", 1.0), ("replica", 1.5), ("roulette", 1.75), ("sale", 0.5), ("serial", 0.75), ("singles", 1.0), ("slim", 0.75), ("sponsored", 1.0),
+    ("survey", 0.5), ("torrent", 1.5), ("track", 0.5), ("tracker", 0.75), ("win", 0.75), ("winner", 0.75),
 )
 SOFT_LIMIT = 2.0
 
