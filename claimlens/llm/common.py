@@ -65,3 +65,21 @@ def clashing(groups: DataFrame, key: str) -> list[int]:
     if len(found) > MOST_CLASHES:
         raise RuntimeError(f"more than {MOST_CLASHES} text hashes stand for several texts")
     return found
+
+
+FILTER_WORDS = 1 << 18
+MAYBE = "_maybe"
+
+
+def possibly(source: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``source`` with ``MAYBE``: false where the values of ``columns`` are surely not among ``keys``.
+
+    It is told by a bitmap of ``FILTER_WORDS`` words of 64 bits, whose size does not depend on the data. So rows
+    that need not meet the keys can stay where they lie; with far more keys than bits most rows are maybe.
+    """
+    slot = F.pmod(F.xxhash64(*columns, F.lit(2)), F.lit(64 * FILTER_WORDS))
+    place = {"_word": F.shiftright(slot, 6).cast("int"), "_bit": (slot % 64).cast("int")}
+    words = keys.select(*columns).withColumns(place).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_mask"))
+    marked = source.withColumns(place).join(F.broadcast(words), "_word", "left")  # at most FILTER_WORDS rows of two numbers
+    told = F.coalesce(F.expr("shiftright(_mask, _bit) & 1L = 1L"), F.lit(False))
+    return marked.withColumn(MAYBE, told).select(*source.columns, MAYBE)

@@ -30,7 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import LAST_ID, clashing, order_id, other_hash, table, text_key, texts, written
+from claimlens.llm.common import (
+    LAST_ID,
+    MAYBE,
+    clashing,
+    order_id,
+    other_hash,
+    possibly,
+    table,
+    text_key,
+    texts,
+    written,
+)
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9999
 #: least probability that a pair at the threshold meets in a run of three splits (1.25 tokens from the second on)
@@ -368,13 +379,18 @@ def near_classes(documents: DataFrame, words: int = WORDS, similarity: float = S
 def one_of_each(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The first document of each group of near copies, with its columns: that of the least doc_id (of several texts of
     that id the one of the least key; nulls last). A row that repeats the id and text of the one that stays goes."""
-    _, named, clashes = text_groups(documents, words, similarity, recall)
+    rows, named, clashes = text_groups(documents, words, similarity, recall)
     chosen = named.groupBy("label").agg(F.min(F.struct("first_id", "c")).alias("first"))
-    chosen = chosen.select(F.col("first.first_id").alias("_first"), F.col("first.c").alias("_c"))
+    chosen = written(chosen.select(F.col("first.first_id").alias("_first"), F.col("first.c").alias("_c")), "chosen")
+    counts = rows.groupBy(F.col("doc_id").alias("_first"), F.col("c").alias("_c")).agg(F.count("*").alias("n"))
+    gone = counts.join(chosen, ["_first", "_c"], "left_anti").unionByName(counts.filter("n > 1"))
     marked = documents.withColumns(
         {"_first": order_id(), "_c": text_key(F.coalesce("text", F.lit("")), clashes)}
     )
-    return marked.join(chosen, ["_first", "_c"], "left_semi").dropDuplicates(["_first", "_c"]).select(*documents.columns)
+    # most documents stay and are one of a kind: they need not be dealt out
+    told = possibly(marked, written(gone.select("_first", "_c"), "gone"), ["_first", "_c"])
+    asked = told.filter(MAYBE).join(chosen, ["_first", "_c"], "left_semi").dropDuplicates(["_first", "_c"])
+    return told.filter(~F.col(MAYBE)).select(*documents.columns).unionByName(asked.select(*documents.columns))
 
 
 def query(spark, sf_dir):

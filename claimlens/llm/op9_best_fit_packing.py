@@ -69,7 +69,7 @@ class ChunkTokens:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {"": 0}
-        self.flat, self.starts, self.lengths = array("I"), array("q", [0]), array("q", [0])
+        self.flat, self.starts, self.lengths = array("I"), array("i", [0]), array("i", [0])
 
     def _encode(self, text: str) -> np.ndarray:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -77,8 +77,8 @@ class ChunkTokens:
 
     def _add(self, chunks: list[str], ids: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
         self.number.update(zip(chunks, range(len(self.starts), len(self.starts) + len(chunks)), strict=True))
-        self.starts.frombytes((first + len(self.flat)).astype(np.int64).tobytes())
-        self.lengths.frombytes(n.astype(np.int64).tobytes())
+        self.starts.frombytes((first + len(self.flat)).astype(np.int32).tobytes())
+        self.lengths.frombytes(n.astype(np.int32).tobytes())
         self.flat.frombytes(ids.tobytes())
 
     def _learn(self, chunks: list[str]) -> None:
@@ -98,21 +98,29 @@ class ChunkTokens:
         """All ids of some texts, and where each text's ids end."""
         apart = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), "([A-Za-z])([.,])( |$)", r"\1 \2\3")
         parts = pc.split_pattern(apart, " ")
+        at = parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()
         words = parts.flatten()
-        words = pc.if_else(pc.match_substring(words, "<"), words, pc.ascii_lower(words))
+        if pc.any(pc.match_substring(texts, "<")).as_py():
+            words = pc.if_else(pc.match_substring(words, "<"), words, pc.ascii_lower(words))
+        else:
+            words = pc.ascii_lower(words)
         encoded = pc.dictionary_encode(words)
-        chunks = encoded.dictionary.to_pylist()
+        chunks, places = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
+        del apart, parts, words, encoded
         if len(self.number) > CACHED_CHUNKS or len(self.flat) > CACHED_IDS:
             self._forget()
         self._learn([c for c in chunks if c not in self.number])
-        codes = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))[encoded.indices.to_numpy()]
+        codes = np.fromiter(map(self.number.__getitem__, chunks), np.int32, len(chunks))[places]
+        del chunks, places
         flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
-        starts, counts = np.frombuffer(self.starts, np.int64)[codes], np.frombuffer(self.lengths, np.int64)[codes]
+        starts, counts = np.frombuffer(self.starts, np.int32)[codes], np.frombuffer(self.lengths, np.int32)[codes]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(starts - ends + counts, counts) + np.arange(total)]
-        del flat  # the array must be free to grow
-        at = parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()
+        index = np.arange(total, dtype=np.int32 if total < 1 << 31 else np.int64)
+        index += np.repeat((starts - ends + counts).astype(index.dtype), counts)
+        ids = flat[index]
+        del flat, index  # the array must be free to grow
+        pa.default_memory_pool().release_unused()  # workers stay alive between tasks
         return ids, np.concatenate([[0], ends])[at]
 
 

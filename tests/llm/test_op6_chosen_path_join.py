@@ -111,3 +111,23 @@ def test_texts_of_equal_hash_stay_apart(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(df) == sorted(brute(rows), key=repr)
     assert op.one_of_each(df).count() == len({c for _, c, _ in brute(rows)})
+
+
+def test_bitmap_never_misses_a_key(spark, monkeypatch):
+    rows = spark.range(5000).selectExpr("id", "cast(id * 7 as string) as name")
+    keys = rows.filter("id % 10 = 3")
+    for words in (1 << 18, 2):  # far fewer bits than keys: every row is maybe
+        monkeypatch.setattr(common, "FILTER_WORDS", words)
+        told = common.possibly(rows, keys, ["id", "name"]).filter(common.MAYBE)
+        assert told.filter("id % 10 = 3").count() == 500
+        assert (told.count() < 510) == (words > 2)
+    assert common.possibly(rows, keys.limit(0), ["id", "name"]).filter(common.MAYBE).count() == 0
+
+
+def test_one_of_each_by_a_full_bitmap_is_the_same(spark, monkeypatch):
+    rows = near_copies(groups=3, copies=8) + [(500, "alone in the world"), (500, "alone in the world")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted(map(tuple, op.one_of_each(df).collect()))
+    assert len(want) == len({c for _, c, _ in brute(rows)})
+    monkeypatch.setattr(common, "FILTER_WORDS", 1)
+    assert sorted(map(tuple, op.one_of_each(df).collect())) == want
