@@ -23,6 +23,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -32,11 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import table, texts, written
+from claimlens.llm.common import table, text_slices, texts, written
 
 CLOSING_ID = 0
-CACHED_CHUNKS, CACHED_IDS, SLICE_BYTES = 500_000, 4_000_000, 8 << 20
+CACHED_CHUNKS, CACHED_IDS, SLICE_BYTES = 500_000, 4_000_000, 4 << 20
 CHUNKS_AT_ONCE = 500
+GATHERED_CHUNKS = 100_000  # whose ids are gathered together
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -94,8 +96,8 @@ class ChunkTokens:
                 ids = self._encode(chunk)
                 self._add([chunk], ids, np.zeros(1, np.int64), np.array([len(ids)]))
 
-    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of some texts, and where each text's ids end."""
+    def _numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The chunk numbers of some texts, and where each text's end."""
         apart = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), "([A-Za-z])([.,])( |$)", r"\1 \2\3")
         parts = pc.split_pattern(apart, " ")
         at = parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()
@@ -109,30 +111,40 @@ class ChunkTokens:
         del apart, parts, words, encoded
         if len(self.number) > CACHED_CHUNKS or len(self.flat) > CACHED_IDS:
             self._forget()
-        self._learn([c for c in chunks if c not in self.number])
-        codes = np.fromiter(map(self.number.__getitem__, chunks), np.int32, len(chunks))[places]
-        del chunks, places
-        flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
+        codes = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int32, len(chunks))
+        absent = np.flatnonzero(codes < 0)
+        new = [chunks[k] for k in absent.tolist()]
+        self._learn(new)
+        codes[absent] = np.fromiter(map(self.number.__getitem__, new), np.int32, len(new))
+        pa.default_memory_pool().release_unused()  # workers stay alive between tasks
+        return codes[places], at
+
+    def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some chunks, and where each chunk's end, after a 0."""
+        flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)  # freed here, as the array must grow
         starts, counts = np.frombuffer(self.starts, np.int32)[codes], np.frombuffer(self.lengths, np.int32)[codes]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
         index = np.arange(total, dtype=np.int32 if total < 1 << 31 else np.int64)
         index += np.repeat((starts - ends + counts).astype(index.dtype), counts)
-        ids = flat[index]
-        del flat, index  # the array must be free to grow
-        pa.default_memory_pool().release_unused()  # workers stay alive between tasks
-        return ids, np.concatenate([[0], ends])[at]
-
+        return flat[index], np.concatenate([[0], ends])
 
-def text_slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
-    """A batch's texts in runs of about ``most`` bytes; a longer text is a run of its own."""
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else np.zeros(0, np.int64)
-    start = 0
-    while start < len(texts):
-        before = int(ends[start - 1]) if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
-        yield texts.slice(start, stop - start)
-        start = stop
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, and where each text's ids end."""
+        codes, at = self._numbers(texts)
+        ids, ends = self._gather(codes)
+        return ids, ends[at]
+
+    def runs(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As ``batch``, for some texts after the other, of about ``GATHERED_CHUNKS`` chunks; a longer text is a run of its own."""
+        codes, at = self._numbers(texts)
+        start = 0
+        while start < len(at):
+            before = int(at[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(at, before + GATHERED_CHUNKS, "right")))
+            ids, ends = self._gather(codes[before : at[stop - 1]])
+            yield ids, ends[at[start:stop] - before]
+            start = stop
 
 
 _TOKENS: dict[str, ChunkTokens] = {}
@@ -150,8 +162,8 @@ def tokenized_pieces(documents: DataFrame, vocabulary: str, max_tokens: int = 20
         closing = np.array([CLOSING_ID], "<u4").tobytes()
         for batch in batches:
             rows, keys = [], iter(batch.column("doc_id").to_pylist())
-            for some in text_slices(pc.fill_null(batch.column("text"), ""), SLICE_BYTES):
-                every, ends = tokens.batch(some)
+            slices = text_slices(pc.fill_null(batch.column("text"), ""), SLICE_BYTES)
+            for every, ends in chain.from_iterable(map(tokens.runs, slices)):
                 data, at = memoryview(every.astype("<u4", copy=False)).cast("B"), 0
                 for end in ends.tolist():
                     doc_id, n = next(keys), end - at + 1

@@ -120,3 +120,38 @@ def test_pack(documents, awkward, library):
 def test_a_piece_beyond_a_capacity_fails():
     with pytest.raises(ValueError):
         op.best_fit_plan({10: 1}, op.Capacity(10, attention=50))
+
+
+def test_memory_follows_the_slice_not_the_batch():
+    """A worker's arrays for a batch of 20 MB, beside the batch itself."""
+    import random
+    import tracemalloc
+
+    rnd = random.Random(2)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(3, 9))) for _ in range(20_000)]
+    batch = pa.array([" ".join(rnd.choices(words, k=500)) for _ in range(6_000)])
+    tokens = op.ChunkTokens(open(PATH, encoding="utf-8").read())
+    usual, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(pool)
+    tracemalloc.start()
+    try:
+        for some in op.text_slices(batch, op.SLICE_BYTES):
+            for _ in tokens.runs(some):
+                pass
+        most = tracemalloc.get_traced_memory()[1] + pool.max_memory()
+    finally:
+        tracemalloc.stop()
+        pa.set_memory_pool(usual)
+    assert most < 60 << 20, most
+
+
+def test_runs_are_the_batch(monkeypatch):
+    tokens = op.ChunkTokens(open(PATH, encoding="utf-8").read())
+    rnd = random.Random(3)
+    some = pa.array(["", "one two"] + [" ".join(rnd.choices(["Ab", "cd.", "", "e,f", "x" * 50], k=rnd.randint(0, 40))) for _ in range(50)])
+    ids, ends = tokens.batch(some)
+    for most in (1, 30, 100_000):
+        monkeypatch.setattr(op, "GATHERED_CHUNKS", most)
+        runs = list(tokens.runs(some))
+        assert np.concatenate([i for i, _ in runs]).tolist() == ids.tolist()
+        assert np.diff(np.concatenate([np.diff(e, prepend=0) for _, e in runs]).cumsum(), prepend=0).tolist() == np.diff(ends, prepend=0).tolist()
