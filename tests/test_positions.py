@@ -77,6 +77,27 @@ def test_list_and_sums_equals_two_passes(spark):
     assert rows(list_and_sums(nothing, ["k"], "vs", TextList(F.col("v"), "; "), {"total": F.col("amount")})) == [("a", None, None)]
 
 
+def test_list_and_sums_take_a_report_along(spark):
+    data = hot_data()
+    df = spark.createDataFrame(data, SCHEMA).repartition(6).filter("k is null or k <> 'k3'")
+    spec, sums = TextList(F.col("v"), "; ", distinct=False, times=F.lit(2)), {"total": F.col("n")}
+    report = df.select("k").distinct().union(spark.sql("select 'none' k")).withColumn("size", F.length("k")).withColumn("same", F.lit(1.5))
+    got = list_and_sums(df, ["k"], "vs", spec, sums, report)
+    assert got.columns == ["k", "size", "same", "vs", "total"]
+    assert rows(got) == rows(report.join(list_and_sums(df, ["k"], "vs", spec, sums), "k", "left"))
+
+
+def test_cells_are_made_of_pieces(spark):
+    """A list of many pieces is whole, and no step holds its items one by one."""
+    df = spark.range(5000).select(F.lit("a").alias("k"), F.format_string("v%05d", F.col("id")).alias("v")).repartition(6)
+    cells = text_lists(df, ["k"], {"vs": TextList(F.col("v"), "; ")})
+    assert rows(cells) == [("a", "; ".join(f"v{i:05d}" for i in range(5000)))]
+    sums = list_and_sums(df, ["k"], "vs", TextList(F.col("v"), "; "), {"n": F.lit(1)})
+    assert rows(sums) == [("a", "; ".join(f"v{i:05d}" for i in range(5000)), 5000)]
+    for frame in (cells, sums):
+        assert "flatten(" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert numbered(df, [F.asc("i")]).count() == 0

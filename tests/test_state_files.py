@@ -12,6 +12,7 @@ from claimlens import schemas
 from claimlens.functions.dates import run_stamp
 from claimlens.operators.ids import kept_ids, left_out_ids
 from claimlens.plans.bills import prepare_bills
+from claimlens.plans.opportunity import payer_opportunity
 from claimlens.plans.quality import account_quality
 from claimlens.plans.traits import account_traits
 from claimlens.plans.workbooks import sheet_contracts, write_daily
@@ -214,6 +215,22 @@ def test_daily_books_keep_their_contracts(spark, tmp_path, make, scope):
     assert list(paths) == list(sheet_contracts(scope)) and all("/20240105_1830/" in p for p in paths.values())
 
 
+@pytest.mark.parametrize("scope", ["all", "not_billed", "no_fax"])
+def test_payer_sheets_hold_one_payer_in_a_file(spark, tmp_path, make, scope):
+    """A payer's lists have no bound, so neither a task that writes nor one that reads gets those of several payers."""
+    row = {"status": "W", "cust_id": 1, "created_at": "2024-01-01T00:00:00", "content": "{}"}
+    t = make(
+        pre_billing=[{"pm_sk": i, "pat_acct": f"A{i % 3}", "insurance_name": f"P{i % 6}" if i % 6 else None, "charges": i, **row} for i in range(24)],
+        payments_a=[{"pat_acct": f"A{i}", "insurance_name": "P1", "payment": 5, "duplicate_payment": False, "not_billed": True} for i in range(3)],
+    )
+    path = write_daily(t, scope, dt.datetime(2024, 1, 5, 8, 30), str(tmp_path))["opportunity_by_insurance"]
+    sheet = spark.read.parquet(path)
+    assert [r.n for r in sheet.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()] == [1] * 6
+    names = sorted(os.listdir(path))
+    order = [r.insurance_name for name in names if name.startswith("part") for r in spark.read.parquet(f"{path}/{name}").collect()]
+    assert order == [r.insurance_name for r in payer_opportunity(t, scope).collect()] and len(set(order)) == 6
+
+
 def test_prepared_bills_give_the_same_reports(spark, tmp_path, make):
     content = '{"patient_dob": "1980-01-01", "patient_gender": "F", "patient_addr1": "1 Main", "patient_phone": "", "facility_state": ""}'
     bill = {"cust_id": 1, "pat_acct": "A", "total_charges": 10, "created_at": "2024-01-05T00:00:00", "admission_date": "2024-01-01"}
