@@ -79,6 +79,12 @@ def plan_of(spark, name):
     return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cells_are_not_split(spark):
+    """Items of a whole list are counted in the cell, without an object of each."""
+    plan = plan_of(spark, "A08_whole_lists")
+    assert "split(" not in plan and "flatten(" not in plan
+
+
 def test_date_filter_reaches_the_scan(spark):
     plan = plan_of(spark, "R21_active_customers")
     assert "GreaterThanOrEqual(l_shipdate,2001-10-22" in plan
